@@ -18,6 +18,19 @@ from pyspark.sql import types as T
 from ..session import materialize
 
 
+def _prepared_edges(edges: DataFrame, node: str, neighbour: str) -> DataFrame:
+    """Distinct (src, dst) edges, hash-partitioned by src and checkpointed once.
+
+    Every level joins the frontier to these edges on src; with the edge
+    table already partitioned on that key only the (smaller) frontier is
+    shuffled per level, and the edge input is parsed once, not per level.
+    """
+    key_type = edges.schema[node].dataType
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = edges.select(F.col(node).alias("_src"), F.col(neighbour).cast(key_type).alias("_dst")).distinct()
+    return materialize(e.repartition(n, "_src"))
+
+
 def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,
                node: str = "node", neighbour: str = "neighbour") -> list[DataFrame]:
     """Levels 0..k as DataFrames ``(node, source, distance)``.
@@ -27,7 +40,7 @@ def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,
     """
     spark: SparkSession = edges.sparkSession
     key_type = edges.schema[node].dataType
-    e = edges.select(F.col(node).alias("_src"), F.col(neighbour).cast(key_type).alias("_dst"))
+    e = _prepared_edges(edges, node, neighbour)
     schema = T.StructType([T.StructField("node", key_type), T.StructField("source", key_type),
                            T.StructField("distance", T.IntegerType())])
     level0 = spark.createDataFrame([(start, None, 0)], schema)
@@ -85,7 +98,7 @@ def walk_levels(edges: DataFrame, start, max_depth: int = 6,
     """
     spark: SparkSession = edges.sparkSession
     key_type = edges.schema[node].dataType
-    e = edges.select(F.col(node).alias("_src"), F.col(neighbour).cast(key_type).alias("_dst")).distinct()
+    e = _prepared_edges(edges, node, neighbour)
     schema = T.StructType([T.StructField("node", key_type), T.StructField("source", key_type),
                            T.StructField("distance", T.IntegerType())])
     level = spark.createDataFrame([(start, None, 0)], schema)

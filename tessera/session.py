@@ -46,6 +46,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan yields fewer tasks than cores.
+
+    Large inputs already arrive in many splits and are left alone; only a
+    few big row groups or unsplittable files (gzip) get spread before
+    expensive per-row work.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
