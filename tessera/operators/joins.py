@@ -61,3 +61,20 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
         e = left[c].eqNullSafe(right[c])
         cond = e if cond is None else cond & e
     return cond
+
+
+def membership_flag(df: DataFrame, probe: Column, members: DataFrame, member_col: str,
+                    out: str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``CAST(probe IN (SELECT member_col FROM members) AS INT)`` as a column ``out``.
+
+    A left join to the distinct, non-NULL member set (broadcast after a
+    row-count check). A NULL probe gives NULL; otherwise 1 if found, else 0
+    (NULLs inside the set never match).
+    """
+    m = members.select(F.col(member_col).alias("_m")).where(F.col("_m").isNotNull()).distinct()
+    m, _ = checked_broadcast(m, max_broadcast_rows)
+    tagged = df.withColumn("_probe", probe)
+    joined = tagged.join(m, tagged["_probe"] == m["_m"], "left")
+    flag = (F.when(F.col("_probe").isNull(), F.lit(None))
+            .when(F.col("_m").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("int"))
+    return joined.withColumn(out, flag).drop("_probe", "_m")

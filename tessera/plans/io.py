@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from ..functions.json import decode_json_lines
 from ..functions.logs import host_request_bytes
 from ..functions.paths import path_to_hour
 from ..functions.text import WORD_SEPARATORS, format_pair
@@ -69,9 +70,8 @@ def json_decode(spark, sf_dir):
     line = F.regexp_replace(base, r"\}$", F.concat(F.lit(', "score": '), score_txt, F.lit("}")))
     lines = c.select(line.alias("value"))
     path = write_text(lines, scratch_path(spark, "jsonl"))
-    decoded = read_text(spark, path).select(
-        F.from_json("value", "subreddit string, score string, author string").alias("j"))
-    rows = decoded.select("j.subreddit", F.col("j.score").try_cast("double").alias("score"))
+    decoded = decode_json_lines(read_text(spark, path), "subreddit string, score string, author string")
+    rows = decoded.where(~F.col("_corrupt")).select("subreddit", F.col("score").try_cast("double").alias("score"))
     return rows.groupBy("subreddit").agg(F.round(F.avg("score"), R).alias("average"),
                                          F.count(F.lit(1)).alias("n"))
 

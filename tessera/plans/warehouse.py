@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import checked_broadcast, null_safe_on
+from ..operators.joins import membership_flag, null_safe_on
 from ..operators.quantiles import exact_median
 from ..session import table
 from .registry import register
@@ -56,15 +56,10 @@ def register_prefix_view(spark, sf_dir, name: str = "vancouver_custs"):
     """
     cust = table(spark, sf_dir, "customer")
     prefixes = (cust.where((F.col("c_nationkey") < 3) & (F.col("c_mktsegment") != "MACHINERY"))
-                .select(F.substring("c_mktsegment", 1, 3).alias("vp")).where(F.col("vp").isNotNull())
-                .distinct())
-    prefixes, _ = checked_broadcast(prefixes)
-    probe = cust.select(F.col("c_custkey").alias("custid"),
-                        F.substring("c_mktsegment", 1, 3).alias("prefix"))
-    flagged = probe.join(prefixes, probe.prefix == prefixes.vp, "left").select(
-        "custid",
-        F.when(F.col("prefix").isNull(), F.lit(None))
-         .when(F.col("vp").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("int").alias("is_vancouver"))
+                .select(F.substring("c_mktsegment", 1, 3).alias("vp")))
+    probe = cust.select(F.col("c_custkey").alias("custid"), "c_mktsegment")
+    flagged = membership_flag(probe, F.substring("c_mktsegment", 1, 3), prefixes, "vp",
+                              "is_vancouver").select("custid", "is_vancouver")
     flagged.createOrReplaceTempView(name)
     return spark.table(name)
 
