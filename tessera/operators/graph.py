@@ -19,16 +19,17 @@ from ..session import materialize
 
 
 def _prepared_edges(edges: DataFrame, node: str, neighbour: str) -> DataFrame:
-    """Distinct (src, dst) edges, hash-partitioned by src and checkpointed once.
+    """Distinct (src, dst) edges, checkpointed once so the input is parsed once.
 
-    Every level joins the frontier to these edges on src; with the edge
-    table already partitioned on that key only the (smaller) frontier is
-    shuffled per level, and the edge input is parsed once, not per level.
+    The edge table is deliberately not hash-partitioned by source: a node
+    holding a third of all edges would pin them to one partition, and AQE
+    can only split a skewed join side that is shuffled. Per level, AQE
+    broadcasts a small frontier (no edge shuffle at all) or splits hot
+    partitions of a large one.
     """
     key_type = edges.schema[node].dataType
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col(node).alias("_src"), F.col(neighbour).cast(key_type).alias("_dst")).distinct()
-    return materialize(e.repartition(n, "_src"))
+    return materialize(e)
 
 
 def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,

@@ -16,7 +16,10 @@ from ..session import materialize
 
 
 def sort_with_position(df: DataFrame, order: list[Column | str], position_col: str = "rn") -> DataFrame:
-    ordered = materialize(df.orderBy(*order))
+    # a row id as the last key: rows equal on ``order`` (in any number) are
+    # still cut into balanced ranges; their relative order is arbitrary anyway
+    ordered = materialize(df.withColumn("_tie", F.monotonically_increasing_id())
+                          .orderBy(*order, "_tie").drop("_tie"))
     tagged = ordered.select(
         "*",
         F.spark_partition_id().alias("_pid"),

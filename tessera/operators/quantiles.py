@@ -3,9 +3,10 @@
 Spark's ``median`` / ``percentile`` keep a map of every distinct value of a
 group in one aggregation buffer, so a group holding a third of the rows
 lands in one task's memory. Here the values are range-partitioned by
-(group, value) — a hot group spreads over many partitions — and each
-group's middle positions are found from per-(partition, group) counts,
-a table whose size is partitions + groups, not rows.
+(group, value, row id) — a hot group, even a hot value, spreads over many
+partitions — and each group's middle positions are found from
+per-(partition, group) counts, a table whose size is partitions + groups,
+not rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,11 @@ from ..session import materialize
 
 def exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
     vals = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ordered = materialize(vals.repartitionByRange(*group_cols, "_v").sortWithinPartitions(*group_cols, "_v"))
+    # a row id breaks ties, so even one value repeated across a third of the
+    # rows is cut into many ranges (equal values are interchangeable here)
+    vals = vals.withColumn("_tie", F.monotonically_increasing_id())
+    ordered = materialize(vals.repartitionByRange(*group_cols, "_v", "_tie")
+                          .sortWithinPartitions(*group_cols, "_v", "_tie"))
     tagged = ordered.select(*group_cols, "_v", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     # rows of one group are contiguous inside a partition (sorted), so a

@@ -23,15 +23,18 @@ HAVING n.n_name = 'NATION_1'
 def avg_having(spark, sf_dir):
     """Average by (province, method) over fact ⟕ dims, HAVING on a group key.
 
-    The HAVING predicate is on a grouping column of the null-supplying
-    side, so Catalyst turns the outer joins inner and pushes the predicate
-    into the nation scan before any join runs.
+    The dimension chain is joined first (customer ⟕ nation; the nation
+    join only references customer columns, so this equals the left-deep
+    chain). The HAVING predicate is on a grouping column of the
+    null-supplying side, so Catalyst turns the outer joins inner and pushes
+    it into the nation scan: only that nation's customers meet the fact
+    table, a side small enough for AQE to broadcast at run time.
     """
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    j = (o.join(c, o.o_custkey == c.c_custkey, "left")
-          .join(n, c.c_nationkey == n.n_nationkey, "left"))
+    dims = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    j = o.join(dims, o.o_custkey == dims.c_custkey, "left")
     g = j.groupBy(F.col("n_name").alias("province"), F.col("o_orderpriority").alias("mtype")) \
          .agg(F.round(F.avg("o_totalprice"), R).alias("avg_amount"))
     return g.where(F.col("province") == "NATION_1")
