@@ -9,6 +9,8 @@ station-day yields one range and no join ever pairs duplicates.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,29 +63,31 @@ def max_range_per_day_sql(spark: SparkSession, obs: DataFrame) -> DataFrame:
 
     The day's maximum is compared with each row like ``MAX(range) OVER
     (PARTITION BY date)``, but computed as a grouped maximum joined back,
-    so one busy day is not a single task.
+    so one busy day is not a single task. View names carry a per-call
+    suffix so concurrent calls on one session do not collide.
     """
-    obs.createOrReplaceTempView("weather_obs")
-    spark.sql("""
-        SELECT station, date, observation, value FROM weather_obs
+    v = f"_{uuid.uuid4().hex[:10]}"
+    obs.createOrReplaceTempView(f"weather_obs{v}")
+    spark.sql(f"""
+        SELECT station, date, observation, value FROM weather_obs{v}
         WHERE qflag IS NULL AND (observation = 'TMAX' OR observation = 'TMIN')
-    """).createOrReplaceTempView("weather_clean")
-    spark.sql("""
-        SELECT station, date, max(value) / 10 AS tmax FROM weather_clean
+    """).createOrReplaceTempView(f"weather_clean{v}")
+    spark.sql(f"""
+        SELECT station, date, max(value) / 10 AS tmax FROM weather_clean{v}
         WHERE observation = 'TMAX' GROUP BY station, date
-    """).createOrReplaceTempView("tmax_days")
-    spark.sql("""
-        SELECT station, date, min(value) / 10 AS tmin FROM weather_clean
+    """).createOrReplaceTempView(f"tmax_days{v}")
+    spark.sql(f"""
+        SELECT station, date, min(value) / 10 AS tmin FROM weather_clean{v}
         WHERE observation = 'TMIN' GROUP BY station, date
-    """).createOrReplaceTempView("tmin_days")
-    spark.sql("""
+    """).createOrReplaceTempView(f"tmin_days{v}")
+    spark.sql(f"""
         SELECT x.date, x.station, ROUND(x.tmax - n.tmin, 1) AS range
-        FROM tmax_days x JOIN tmin_days n ON x.date = n.date AND x.station = n.station
-    """).createOrReplaceTempView("ranges")
-    return spark.sql("""
-        WITH day_max AS (SELECT date, MAX(range) AS maxrange FROM ranges GROUP BY date)
+        FROM tmax_days{v} x JOIN tmin_days{v} n ON x.date = n.date AND x.station = n.station
+    """).createOrReplaceTempView(f"ranges{v}")
+    return spark.sql(f"""
+        WITH day_max AS (SELECT date, MAX(range) AS maxrange FROM ranges{v} GROUP BY date)
         SELECT r.date, r.station, r.range
-        FROM ranges r JOIN day_max m ON r.date = m.date
+        FROM ranges{v} r JOIN day_max m ON r.date = m.date
         WHERE r.range = m.maxrange
         ORDER BY r.date, r.station
     """)

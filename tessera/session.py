@@ -41,6 +41,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings sized to the input for a cluster run (pass to ``build_session(extra=...)``
+    or ``spark-submit --conf``).
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (at least 2x the cores) and AQE coalesces the small ones and splits
+    skewed ones; scan splits stay at 256 MB so tasks fit executor memory.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Parquet keeps pushdown and column pruning."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -285,3 +285,33 @@ def test_path_to_hour(spark):
     df = spark.createDataFrame([("hdfs:///x/pagecounts-20160801-120000.gz",),
                                 ("/tmp/out/file=pagecounts-20240105-230000/part-0.csv",)], "p string")
     assert [r[0] for r in df.select(path_to_hour(F.col("p"))).collect()] == ["20160801-12", "20240105-23"]
+
+
+# ---------- streaming restart ---------------------------------------------
+
+def test_stream_state_survives_restart(spark, tmp_path):
+    from tessera.streaming.regression import read_stream, start_regression
+    src, ckpt = tmp_path / "in", tmp_path / "ckpt"
+    src.mkdir()
+    (src / "a.txt").write_text("1 2\n2 4\nbad\n3\n")
+    q = start_regression(spark, read_stream(spark, "text", str(src)), checkpoint=str(ckpt))
+    q.awaitTermination()
+    first = spark.table(q.name).first()
+    assert first["n"] == 2 and first["beta"] == pytest.approx(2.0)
+    # a new file after a restart from the same checkpoint: the sums continue
+    (src / "b.txt").write_text("4 9\n")
+    q2 = start_regression(spark, read_stream(spark, "text", str(src)), checkpoint=str(ckpt))
+    q2.awaitTermination()
+    second = spark.table(q2.name).first()
+    assert second["n"] == 3
+    xs, ys = [1, 2, 4], [2, 4, 9]
+    mx, my = sum(xs) / 3, sum(ys) / 3
+    beta = sum((x - mx) * (y - my) for x, y in zip(xs, ys)) / sum((x - mx) ** 2 for x in xs)
+    assert second["beta"] == pytest.approx(beta)
+
+
+def test_scale_settings():
+    from tessera.session import scale_settings
+    s = scale_settings(100 << 40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 819200
+    assert int(scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
