@@ -8,23 +8,46 @@ from pyspark.sql import functions as F
 # The access-log line pattern and its timestamp format.
 #   host - - [dd/MMM/yyyy:HH:mm:ss +zzzz] "METHOD path HTTP/d.d" status bytes
 LOG_PATTERN = r'^(\S+) - - \[(\S+) [+-]\d+\] "[A-Z]+ (\S+) HTTP/\d\.\d" \d+ (\d+)$'
-LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+
+
+def log_wall_clock(stamp):
+    """``dd/MMM/yyyy:HH:mm:ss`` → timestamp without time zone, NULL if invalid.
+
+    Built from its parts, so the session time zone never shifts it (no
+    daylight-saving gaps) and a malformed stamp is NULL, not an error.
+    """
+    p = F.split(stamp, "[/:]", -1)
+
+    def part(i, t="int"):
+        return F.try_element_at(p, F.lit(i)).try_cast(t)
+
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.try_element_at(p, F.lit(2))).cast("int")
+    ok = F.size(p) == 6
+    return F.when(ok, F.try_make_timestamp_ntz(years=part(3), months=month, days=part(1),
+                                                hours=part(4), mins=part(5), secs=part(6, "decimal(16,6)")))
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """(host, datetime, path, bytes); lines that do not match are dropped.
 
+    One regex pass per line: a matching line is rewritten into its four
+    groups joined by U+0001 (groups never contain it: they are \\S+ / \\d+),
+    a non-matching line comes back unchanged and is filtered out.
     The zone offset is matched but not applied: ``datetime`` is the wall
     clock as written (timestamp without time zone). Bytes are 64-bit.
     """
+    sep = "\u0001"
     v = F.col(col)
-    ok = lines.where(v.rlike(LOG_PATTERN))
-    stamp = F.regexp_extract(v, LOG_PATTERN, 2)
-    parsed = ok.select(
-        F.regexp_extract(v, LOG_PATTERN, 1).alias("host"),
-        F.try_to_timestamp(stamp, F.lit(LOG_TIME_FORMAT)).cast("timestamp_ntz").alias("datetime"),
-        F.regexp_extract(v, LOG_PATTERN, 3).alias("path"),
-        F.regexp_extract(v, LOG_PATTERN, 4).try_cast("long").alias("bytes"),
+    rewritten = F.regexp_replace(v, LOG_PATTERN, f"$1{sep}$2{sep}$3{sep}$4")
+    matched = (lines.select(v.alias("_line"), rewritten.alias("_groups"))
+               .where(F.col("_groups") != F.col("_line"))
+               .select(F.split("_groups", sep, -1).alias("_g")))
+    parsed = matched.select(
+        F.col("_g")[0].alias("host"),
+        log_wall_clock(F.col("_g")[1]).alias("datetime"),
+        F.col("_g")[2].alias("path"),
+        F.col("_g")[3].try_cast("long").alias("bytes"),
     )
     return parsed.where(F.col("datetime").isNotNull() & F.col("bytes").isNotNull())
 

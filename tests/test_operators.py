@@ -315,3 +315,16 @@ def test_scale_settings():
     s = scale_settings(100 << 40, 8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 819200
     assert int(scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_log_time_ignores_session_zone(spark):
+    from tessera.functions.logs import log_wall_clock
+    df = spark.createDataFrame([("10/Mar/2024:02:30:00",), ("31/Feb/2024:00:00:00",), ("xx",),
+                                ("01/Aug/1995:23:59:59",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")   # 02:30 is a DST gap there
+        got = [None if r[0] is None else str(r[0]) for r in df.select(log_wall_clock(F.col("s"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2024-03-10 02:30:00", None, None, "1995-08-01 23:59:59"]
