@@ -7,23 +7,31 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# A side is broadcast only when its row count, measured on the
-# materialised side, is at or below this bound (and its width is small).
+# A side is broadcast only when its row count and its measured size, both
+# taken on the materialised side, are within these bounds.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` once, count it, and mark it for broadcast if the count fits.
+def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``small`` once, measure it, and mark it for broadcast if it fits.
 
-    The count runs on the checkpointed rows, so the side is computed once
-    whichever way the join goes. Beyond the bound the side is returned
-    unmarked and Spark plans a shuffle join (sort-merge, AQE skew split).
+    The row count and the byte size (JSON length of each row, an
+    over-estimate of its in-memory width) are computed on the checkpointed
+    rows, so the side is computed once whichever way the join goes. Beyond
+    either bound the side is returned unmarked and Spark plans a shuffle
+    join (sort-merge, with AQE skew splitting).
     """
     side = materialize(small)
     n = side.count()
-    if n <= max_rows:
-        return F.broadcast(side), True
-    return side, False
+    if n > max_rows:
+        return side, False
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in side.columns])))
+    nbytes = side.agg(F.sum(width)).first()[0] or 0
+    if nbytes > max_bytes:
+        return side, False
+    return F.broadcast(side), True
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -328,3 +328,11 @@ def test_log_time_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == ["2024-03-10 02:30:00", None, None, "1995-08-01 23:59:59"]
+
+
+def test_checked_broadcast_byte_bound(spark):
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 10000).alias("w"))
+    _, marked = checked_broadcast(wide, max_rows=1000, max_bytes=100_000)
+    assert not marked
+    _, marked = checked_broadcast(wide, max_rows=1000, max_bytes=10_000_000)
+    assert marked
