@@ -127,6 +127,76 @@ def job_weather_test(spark, inputs, output, model_path):
     write_csv(regression_metrics(pred, "tmax"), output, header=True)
 
 
+def job_weather_train(spark, inputs, model_out, yesterday="true", regressor="gbt"):
+    """Fit the tmax pipeline (prior-day SQL stage, assembler, regressor) on a
+    seeded 75% split, write validation r2 / rmse next to the saved model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from .ml.features import day_of_year_stage, prior_day_stage, random_split, regression_metrics
+    from .plans.ml import WITH_YESTERDAY, WITHOUT_YESTERDAY, _regressor
+    data = read_csv(spark, inputs, TMAX_SCHEMA)
+    train, valid = random_split(data)
+    with_y = yesterday == "true"
+    stages = [prior_day_stage() if with_y else day_of_year_stage(),
+              VectorAssembler(inputCols=WITH_YESTERDAY if with_y else WITHOUT_YESTERDAY, outputCol="features"),
+              _regressor(regressor)]
+    model = Pipeline(stages=stages).fit(train)
+    model.write().overwrite().save(model_out)
+    write_csv(regression_metrics(model.transform(valid), "tmax"), model_out + "-metrics", header=True)
+
+
+def job_weather_tomorrow(spark, inputs, output, model_path):
+    """Tomorrow's tmax per station from each station's latest row in ``inputs``
+    (CSV, same layout as training data), scored with a saved pipeline."""
+    model = PipelineModel.load(model_path)
+    today = read_csv(spark, inputs, TMAX_SCHEMA)
+    last = today.groupBy("station").agg(F.max("date").alias("date"))
+    latest = today.join(last, ["station", "date"], "left_semi")
+    tomorrow = latest.select("station", F.date_add("date", 1).alias("date"), "latitude", "longitude",
+                             "elevation", F.lit(0.0).cast("float").alias("tmax"))
+    scored = model.transform(latest.unionByName(tomorrow))
+    out = scored.join(tomorrow.select("station", "date"), ["station", "date"], "left_semi")
+    write_csv(out.select("station", "date", "prediction"), output, header=True)
+
+
+def job_colour_predict(spark, inputs, output, seed="732"):
+    """Colour words from RGB and from LAB with a multilayer perceptron; weighted F1 per model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from .ml.features import RgbToLab, random_split
+    data = read_csv(spark, inputs, "R int, G int, B int, word string, confidence string")
+    train, valid = random_split(data, seed=int(seed))
+    n_labels = data.select("word").distinct().count()
+    rows = []
+    for name, pre, cols in (("rgb", [], ["R", "G", "B"]), ("lab", [RgbToLab()], ["labL", "labA", "labB"])):
+        mlp = MultilayerPerceptronClassifier(layers=[3, 30, n_labels], seed=int(seed))
+        pipe = Pipeline(stages=[*pre, VectorAssembler(inputCols=cols, outputCol="features"),
+                                StringIndexer(inputCol="word", outputCol="label"), mlp])
+        f1 = MulticlassClassificationEvaluator(labelCol="label").evaluate(pipe.fit(train).transform(valid))
+        rows.append((name, float(f1)))
+    write_csv(spark.createDataFrame(rows, "features string, f1 double"), output, header=True)
+
+
+def job_read_stream(spark, source, output, fmt="kafka", timeout="600", checkpoint=None):
+    """Running slope/intercept of "x y" messages. ``source`` is a topic (kafka;
+    servers from ``spark.tessera.kafka.servers``) or a directory (text)."""
+    from .streaming.regression import read_stream, start_regression
+    if fmt == "kafka":
+        servers = spark.conf.get("spark.tessera.kafka.servers")
+        messages = read_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers, "subscribe": source})
+    else:
+        messages = read_stream(spark, fmt, source)
+    sink = "console" if output == "-" else "memory"
+    q = start_regression(spark, messages, checkpoint=checkpoint, sink=sink, available_now=False,
+                         truncate="false")
+    q.awaitTermination(int(timeout))
+    if sink == "memory":
+        spark.table(q.name).write.mode("overwrite").csv(output, header=True)
+    q.stop()
+
+
 JOBS = {name[4:]: fn for name, fn in dict(globals()).items() if name.startswith("job_")}
 
 

@@ -59,3 +59,29 @@ def test_shortest_path_job(spark, tmp_path):
     start = str(first["o_custkey"])
     jobs.main(["shortest_path", src, str(tmp_path / "out"), start, start])
     assert [r.value for r in spark.read.text(str(tmp_path / "out" / "path")).collect()] == [start]
+
+
+def test_weather_ml_jobs(spark, tmp_path):
+    from tessera.plans.ml import daily_weather
+    src = str(tmp_path / "tmax")
+    daily_weather(spark, SF_SMALL).select("station", "date", *[F.col(c).cast("float") for c in
+                                          ("latitude", "longitude", "elevation", "tmax")]).write.csv(src)
+    model = str(tmp_path / "model")
+    jobs.main(["weather_train", src, model])
+    m = spark.read.option("header", True).csv(model + "-metrics").first()
+    assert float(m["rmse"]) >= 0
+    jobs.main(["weather_tomorrow", src, str(tmp_path / "tomorrow"), model])
+    out = spark.read.option("header", True).csv(str(tmp_path / "tomorrow"))
+    assert out.count() == daily_weather(spark, SF_SMALL).select("station").distinct().count()
+    jobs.main(["weather_test", src, str(tmp_path / "test"), model])
+    assert spark.read.option("header", True).csv(str(tmp_path / "test")).count() == 1
+
+
+def test_colour_predict_job(spark, tmp_path):
+    from tessera.plans.colour import part_colours
+    src = str(tmp_path / "colours")
+    part_colours(spark, SF_SMALL).select("R", "G", "B", F.col("p_type").alias("word"),
+                                         F.lit("1").alias("confidence")).write.csv(src)
+    jobs.main(["colour_predict", src, str(tmp_path / "f1")])
+    rows = spark.read.option("header", True).csv(str(tmp_path / "f1")).collect()
+    assert sorted(r["features"] for r in rows) == ["lab", "rgb"]
