@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.logs import host_request_bytes, parse_log_lines
-from ..operators.aggregates import linear_regression, pearson_from_sums, six_sums
+from ..operators.aggregates import linear_regression, pearson_from_sums
 from ..session import scratch_path, table
 from ..sources.files import read_text
 from ..sources.sinks import write_text

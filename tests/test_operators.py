@@ -1,11 +1,9 @@
 """Edge fixtures (FIXTURES.md §4) and brute-force checks of the custom operators."""
 
-import math
 import random
 import statistics
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tessera.functions.colour import rgb_to_hsv, rgb_to_lab
@@ -15,7 +13,7 @@ from tessera.functions.paths import path_to_hour
 from tessera.functions.text import split_words
 from tessera.operators.aggregates import correlation, linear_regression, pearson_from_sums, six_sums, word_count
 from tessera.operators.extremes import argmax_single, keep_max_join, keep_max_semi
-from tessera.operators.graph import bfs, path_from_levels, bfs_levels, shortest_path, walk_levels
+from tessera.operators.graph import bfs, shortest_path, walk_levels
 from tessera.operators.joins import checked_broadcast, membership_flag, relative_score
 from tessera.operators.ordering import sort_with_position
 from tessera.operators.quantiles import exact_median
