@@ -75,13 +75,23 @@ def bfs(edges: DataFrame, start, max_depth: int = 6, **kw) -> DataFrame:
 def path_from_levels(levels: list[DataFrame], end) -> DataFrame:
     """``(step, node)`` from the start (step 0) to ``end``; empty if ``end`` was not reached.
 
-    Walks parent pointers backwards with one small join per level.
+    The target's level is found once; then each step joins the one-row
+    current node to the previous level only (its parent is there) and
+    checkpoints that row, so every level table is scanned once and the
+    plan stays linear in the depth.
     """
-    known = reduce(DataFrame.unionByName, levels)
-    cur = known.where(F.col("node") == F.lit(end))
+    spark: SparkSession = levels[0].sparkSession
+    key_type = levels[0].schema["node"].dataType
+    hit = reduce(DataFrame.unionByName, [lv.select("node", "distance") for lv in levels]) \
+        .where(F.col("node") == F.lit(end)).select("distance").first()
+    if hit is None:
+        return spark.createDataFrame([], T.StructType([T.StructField("step", T.IntegerType()),
+                                                       T.StructField("node", key_type)]))
+    d = hit[0]
+    cur = levels[d].where(F.col("node") == F.lit(end))
     parts = [cur.select(F.col("distance").alias("step"), "node")]
-    for _ in range(len(levels) - 1):
-        cur = known.join(cur.select(F.col("source").alias("node")), "node")
+    for k in range(d - 1, -1, -1):
+        cur = materialize(levels[k].join(cur.select(F.col("source").alias("node")), "node"))
         parts.append(cur.select(F.col("distance").alias("step"), "node"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .joins import checked_broadcast
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
@@ -46,5 +47,8 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "m
     # keep the target positions that fall inside this piece; their row id
     targets = targets.where((F.col("_p") > F.col("_off")) & (F.col("_p") <= F.col("_off") + F.col("_n"))) \
         .select("_pid", (F.col("_first") + F.col("_p") - F.col("_off") - 1).alias("_mid"))
+    # at most two target rows per group: broadcast after a size check, so
+    # picking them never shuffles the full value table
+    targets, _ = checked_broadcast(targets)
     picked = tagged.join(targets, ["_pid", "_mid"], "left_semi")
     return picked.groupBy(*group_cols).agg(F.avg("_v").alias(out))
