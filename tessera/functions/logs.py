@@ -8,24 +8,18 @@ from pyspark.sql import functions as F
 # The access-log line pattern and its timestamp format.
 #   host - - [dd/MMM/yyyy:HH:mm:ss +zzzz] "METHOD path HTTP/d.d" status bytes
 LOG_PATTERN = r'^(\S+) - - \[(\S+) [+-]\d+\] "[A-Z]+ (\S+) HTTP/\d\.\d" \d+ (\d+)$'
-MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
-
+LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
 
 def log_wall_clock(stamp):
     """``dd/MMM/yyyy:HH:mm:ss`` → timestamp without time zone, NULL if invalid.
 
-    Built from its parts, so the session time zone never shifts it (no
-    daylight-saving gaps) and a malformed stamp is NULL, not an error.
+    The stamp is parsed with an explicit +0000 zone and its epoch seconds
+    are added to the zone-free epoch, so the session time zone never shifts
+    it (no daylight-saving gaps) and a malformed stamp is NULL, not an error.
     """
-    p = F.split(stamp, "[/:]", -1)
-
-    def part(i, t="int"):
-        return F.try_element_at(p, F.lit(i)).try_cast(t)
-
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.try_element_at(p, F.lit(2))).cast("int")
-    ok = F.size(p) == 6
-    return F.when(ok, F.try_make_timestamp_ntz(years=part(3), months=month, days=part(1),
-                                                hours=part(4), mins=part(5), secs=part(6, "decimal(16,6)")))
+    instant = F.try_to_timestamp(F.concat(stamp, F.lit(" +0000")), F.lit(LOG_TIME_FORMAT + " Z"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")   # a string cast carries no zone
+    return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch)
 
 
 def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
