@@ -57,8 +57,15 @@ def write_split(df: DataFrame, path: str, by: str, fmt: str = "json",
 
 
 def write_n_files(df: DataFrame, path: str, n: int, key: str | None = None, fmt: str = "parquet") -> str:
-    """Exactly the number of reducers as output partitions (hash on ``key`` if given)."""
-    parts = df.repartition(n, key) if key else df.repartition(n)
+    """Output with exactly ``n`` reducers (hash on ``key`` if given): at most ``n`` part files.
+
+    ``n == 0`` is the map-only case: rows are written as the upstream tasks
+    produce them, with no shuffle (one file per input task).
+    """
+    if n == 0:
+        parts = df
+    else:
+        parts = df.repartition(n, key) if key else df.repartition(n)
     parts.write.mode("overwrite").format(fmt).save(path)
     return path
 

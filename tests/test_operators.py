@@ -334,3 +334,14 @@ def test_checked_broadcast_byte_bound(spark):
     assert not marked
     _, marked = checked_broadcast(wide, max_rows=1000, max_bytes=10_000_000)
     assert marked
+
+
+def test_write_n_files(spark, tmp_path):
+    import os
+    from tessera.sources.sinks import write_n_files
+    df = spark.range(1000).select((F.col("id") % 37).alias("k"), "id").repartition(5)
+    for n in (3, 0):
+        out = write_n_files(df, str(tmp_path / f"n{n}"), n, "k" if n else None)
+        files = [f for f in os.listdir(out) if f.startswith("part-")]
+        assert (len(files) <= 3) if n == 3 else (len(files) == 5)
+        assert spark.read.parquet(out).count() == 1000
