@@ -21,8 +21,10 @@ from .joins import checked_broadcast
 def exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
     vals = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     # a row id breaks ties, so even one value repeated across a third of the
-    # rows is cut into many ranges (equal values are interchangeable here)
-    vals = vals.withColumn("_tie", F.monotonically_increasing_id())
+    # rows is cut into many ranges (equal values are interchangeable here).
+    # Ids are assigned after a local sort, so a recomputed task (lost
+    # executor) gives every row the same id and range again.
+    vals = vals.sortWithinPartitions(*group_cols, "_v").withColumn("_tie", F.monotonically_increasing_id())
     ordered = materialize(vals.repartitionByRange(*group_cols, "_v", "_tie")
                           .sortWithinPartitions(*group_cols, "_v", "_tie"))
     tagged = ordered.select(*group_cols, "_v", F.spark_partition_id().alias("_pid"),

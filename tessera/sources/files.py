@@ -68,7 +68,9 @@ def adjacency_lines(edges: DataFrame, node: str = "node", neighbour: str = "neig
     A node with many neighbours is written as several lines (the parser
     reads each line's edges), so no single row gathers a hot node's list.
     """
+    # ids follow a local sort, so a recomputed task chunks its rows identically
     chunk = F.floor(F.monotonically_increasing_id() / per_line)
-    grouped = edges.select(node, neighbour, chunk.alias("_c")).groupBy(node, "_c").agg(
+    grouped = edges.select(node, neighbour).sortWithinPartitions(node, neighbour) \
+        .select(node, neighbour, chunk.alias("_c")).groupBy(node, "_c").agg(
         F.array_join(F.sort_array(F.collect_list(F.col(neighbour).cast("string"))), " ").alias("_n"))
     return grouped.select(F.concat(F.col(node).cast("string"), F.lit(": "), F.col("_n")).alias("value"))
