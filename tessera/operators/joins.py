@@ -10,7 +10,7 @@ from ..session import materialize
 # A side is broadcast only when its row count and its measured size, both
 # taken on the materialised side, are within these bounds.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 256 << 20
+DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -345,3 +345,12 @@ def test_write_n_files(spark, tmp_path):
         files = [f for f in os.listdir(out) if f.startswith("part-")]
         assert (len(files) <= 3) if n == 3 else (len(files) == 5)
         assert spark.read.parquet(out).count() == 1000
+
+
+def test_upsert_leaves_untouched_rows_and_handles_nulls(spark):
+    base = spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, "c", 1), (3, "c-old", 0)],
+                                 "k long, v string, version int")
+    changes = spark.createDataFrame([(2, "b2", 2), (4, "d", 1)], "k long, v string, version int")
+    got = rows(upsert_by_key(base, changes, ["k"], "version"), "k", "v")
+    # untouched keys keep every existing row as stored; touched keys collapse to the latest
+    assert got == [(1, "a"), (2, "b2"), (3, "c"), (3, "c-old"), (4, "d")]
