@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .joins import fits_broadcast, measure
 
 
 def _prepared_edges(edges: DataFrame, node: str, neighbour: str) -> DataFrame:
@@ -48,19 +49,29 @@ def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,
     levels = [level0]
     if end is not None and start == end:
         return levels
-    frontier = level0
+    frontier, frontier_size = level0, (1, 0)
+    visited_rows, visited_bytes = 1, 0
     for d in range(1, max_depth + 1):
+        # a checkpointed side has no size estimate, so without an explicit
+        # choice every level would shuffle the whole edge table before AQE
+        # could switch to a broadcast; measured sides are broadcast instead
+        src = frontier.select(F.col("node").alias("_src"))
+        if fits_broadcast(*frontier_size):
+            src = F.broadcast(src)
         visited = reduce(DataFrame.unionByName, [lv.select("node") for lv in levels])
-        step = (frontier.select(F.col("node").alias("_src"))
-                .join(e, "_src")
-                .select(F.col("_dst").alias("node"), F.col("_src").alias("source")))
+        if fits_broadcast(visited_rows, visited_bytes):
+            visited = F.broadcast(visited)
+        step = src.join(e, "_src").select(F.col("_dst").alias("node"), F.col("_src").alias("source"))
         fresh = step.join(visited, "node", "left_anti")
         new = fresh.groupBy("node").agg(F.min("source").alias("source")) \
                    .withColumn("distance", F.lit(d))
         new = materialize(new)
-        if new.isEmpty():
+        frontier_size = measure(new)
+        if frontier_size[0] == 0:
             break
         levels.append(new)
+        visited_rows += frontier_size[0]
+        visited_bytes += frontier_size[1]
         if end is not None and not new.where(F.col("node") == F.lit(end)).isEmpty():
             break
         frontier = new
@@ -91,7 +102,8 @@ def path_from_levels(levels: list[DataFrame], end) -> DataFrame:
     cur = levels[d].where(F.col("node") == F.lit(end))
     parts = [cur.select(F.col("distance").alias("step"), "node")]
     for k in range(d - 1, -1, -1):
-        cur = materialize(levels[k].join(cur.select(F.col("source").alias("node")), "node"))
+        # one row: broadcast it, the level table is streamed in place
+        cur = materialize(levels[k].join(F.broadcast(cur.select(F.col("source").alias("node"))), "node"))
         parts.append(cur.select(F.col("distance").alias("step"), "node"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -114,12 +126,16 @@ def walk_levels(edges: DataFrame, start, max_depth: int = 6,
                            T.StructField("distance", T.IntegerType())])
     level = spark.createDataFrame([(start, None, 0)], schema)
     levels = [level]
+    size = (1, 0)
     for d in range(1, max_depth + 1):
-        step = (level.select(F.col("node").alias("_src")).distinct()
-                .join(e, "_src")
+        src = level.select(F.col("node").alias("_src")).distinct()
+        if fits_broadcast(*size):          # measured level: broadcast, edges stay in place
+            src = F.broadcast(src)
+        step = (src.join(e, "_src")
                 .select(F.col("_dst").alias("node"), F.col("_src").alias("source"), F.lit(d).alias("distance")))
         level = materialize(step.distinct())
-        if level.isEmpty():
+        size = measure(level)
+        if size[0] == 0:
             break
         levels.append(level)
     union = reduce(DataFrame.unionByName, levels).distinct()

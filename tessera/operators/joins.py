@@ -13,25 +13,32 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a DataFrame in one job; bytes = JSON length of each row,
+    an over-estimate of its in-memory width."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    r = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return int(r[0]), int(r[1] or 0)
+
+
+def fits_broadcast(rows: int, nbytes: int, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return rows <= max_rows and nbytes <= max_bytes
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Materialise ``small`` once, measure it, and mark it for broadcast if it fits.
 
-    The row count and the byte size (JSON length of each row, an
-    over-estimate of its in-memory width) are computed on the checkpointed
-    rows, so the side is computed once whichever way the join goes. Beyond
-    either bound the side is returned unmarked and Spark plans a shuffle
-    join (sort-merge, with AQE skew splitting).
+    Rows and bytes are measured on the checkpointed rows, so the side is
+    computed once whichever way the join goes. Beyond either bound the side
+    is returned unmarked and Spark plans a shuffle join (sort-merge, with
+    AQE skew splitting).
     """
     side = materialize(small)
-    n = side.count()
-    if n > max_rows:
-        return side, False
-    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in side.columns])))
-    nbytes = side.agg(F.sum(width)).first()[0] or 0
-    if nbytes > max_bytes:
-        return side, False
-    return F.broadcast(side), True
+    if fits_broadcast(*measure(side), max_rows, max_bytes):
+        return F.broadcast(side), True
+    return side, False
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
