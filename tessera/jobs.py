@@ -40,19 +40,19 @@ TMAX_SCHEMA = ("station string, date date, latitude float, longitude float, "
                "elevation float, tmax float")
 
 
-def job_wordcount(spark, inputs, output):
+def job_word_count(spark, inputs, output):
     """``word count`` lines, sorted by word."""
     counts = word_count(read_text(spark, inputs), "value").orderBy("word")
     write_text(format_pair(F.col("word"), F.col("count")), output, df=counts)
 
 
-def job_reddit_average(spark, inputs, output):
+def job_keyed_mean(spark, inputs, output):
     """Mean score per subreddit from JSON comments (CSV out)."""
     comments = read_json(spark, inputs, COMMENT_SCHEMA)
     write_csv(keyed_average(comments, "subreddit", "score"), output)
 
 
-def job_reddit_average_text(spark, inputs, output):
+def job_keyed_mean_lines(spark, inputs, output):
     """Same from raw lines; the score may be a number or a quoted number."""
     dec = decode_json_lines(read_text(spark, inputs), "subreddit string, score string")
     rows = dec.where(~F.col("_corrupt")).select("subreddit", F.col("score").try_cast("double").alias("score"))
@@ -60,7 +60,7 @@ def job_reddit_average_text(spark, inputs, output):
     write_text(json_array_line(F.col("subreddit"), F.col("average")), output, df=avg)
 
 
-def job_reddit_etl(spark, inputs, output):
+def job_split_by_sign(spark, inputs, output):
     """Comments of subreddits containing 'e', split into positive/ and negative/ by score."""
     c = read_json(spark, inputs, COMMENT_SCHEMA).where(F.col("subreddit").contains("e"))
     rows = c.select("subreddit", "score", "author",
@@ -86,7 +86,7 @@ def job_temp_range(spark, inputs, output):
     write_csv(max_range_per_day(obs), output)
 
 
-def job_wikipedia_popular(spark, inputs, output):
+def job_popular_per_hour(spark, inputs, output):
     """Most viewed English pages per hour (hour from each file name), ties kept."""
     pages = read_delimited_with_file(spark, inputs, PAGECOUNT_SCHEMA, sep=" ")
     wiki = pages.where((F.col("language") == "en") & ~F.col("title").startswith("Special:")
@@ -96,14 +96,14 @@ def job_wikipedia_popular(spark, inputs, output):
     best.coalesce(1).write.mode("overwrite").json(output)
 
 
-def job_correlate_logs(spark, inputs, output):
+def job_log_correlation(spark, inputs, output):
     """r and r² of requests vs bytes per host."""
     from .operators.aggregates import pearson_from_sums, six_sums
     xy = host_request_bytes(parse_log_lines(read_text(spark, inputs, spark.sparkContext.defaultParallelism)))
     write_csv(pearson_from_sums(six_sums(xy)), output, header=True)
 
 
-def job_load_logs(spark, inputs, output, fmt="parquet"):
+def job_log_table_append(spark, inputs, output, fmt="parquet"):
     """Parsed log rows with a random id appended to a keyed table (by format name)."""
     logs = parse_log_lines(read_text(spark, inputs, spark.sparkContext.defaultParallelism))
     write_table(logs.withColumn("id", F.expr("uuid()")), fmt, mode="append", path=output)
@@ -119,7 +119,7 @@ def job_shortest_path(spark, inputs, output, start, end, max_depth="6"):
     path.select(F.col("node").alias("value")).coalesce(1).write.mode("overwrite").text(f"{output}/path")
 
 
-def job_weather_test(spark, inputs, output, model_path):
+def job_tmax_test(spark, inputs, output, model_path):
     """Score a CSV of daily tmax with a saved pipeline; write r2 / rmse."""
     from .ml.features import regression_metrics
     data = read_csv(spark, inputs, TMAX_SCHEMA)
@@ -127,7 +127,7 @@ def job_weather_test(spark, inputs, output, model_path):
     write_csv(regression_metrics(pred, "tmax"), output, header=True)
 
 
-def job_weather_train(spark, inputs, model_out, yesterday="true", regressor="gbt"):
+def job_tmax_train(spark, inputs, model_out, yesterday="true", regressor="gbt"):
     """Fit the tmax pipeline (prior-day SQL stage, assembler, regressor) on a
     seeded 75% split, write validation r2 / rmse next to the saved model."""
     from pyspark.ml import Pipeline
@@ -145,7 +145,7 @@ def job_weather_train(spark, inputs, model_out, yesterday="true", regressor="gbt
     write_csv(regression_metrics(model.transform(valid), "tmax"), model_out + "-metrics", header=True)
 
 
-def job_weather_tomorrow(spark, inputs, output, model_path):
+def job_tmax_next_day(spark, inputs, output, model_path):
     """Tomorrow's tmax per station from each station's latest row in ``inputs``
     (CSV, same layout as training data), scored with a saved pipeline."""
     model = PipelineModel.load(model_path)
@@ -159,7 +159,7 @@ def job_weather_tomorrow(spark, inputs, output, model_path):
     write_csv(out.select("station", "date", "prediction"), output, header=True)
 
 
-def job_colour_predict(spark, inputs, output, seed="732"):
+def job_colour_classify(spark, inputs, output, seed="42"):
     """Colour words from RGB and from LAB with a multilayer perceptron; weighted F1 per model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
@@ -179,7 +179,7 @@ def job_colour_predict(spark, inputs, output, seed="732"):
     write_csv(spark.createDataFrame(rows, "features string, f1 double"), output, header=True)
 
 
-def job_read_stream(spark, source, output, fmt="kafka", timeout="600", checkpoint=None):
+def job_stream_regression(spark, source, output, fmt="kafka", timeout="600", checkpoint=None):
     """Running slope/intercept of "x y" messages. ``source`` is a topic (kafka;
     servers from ``spark.tessera.kafka.servers``) or a directory (text)."""
     from .streaming.regression import read_stream, start_regression

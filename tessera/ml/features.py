@@ -39,7 +39,7 @@ def stable_split(df: DataFrame, key: Column, parts: int = 4, holdout: int = 1) -
     return df.where(bucket >= holdout), df.where(bucket < holdout)
 
 
-def random_split(df: DataFrame, weights=(0.75, 0.25), seed: int = 732) -> list[DataFrame]:
+def random_split(df: DataFrame, weights=(0.75, 0.25), seed: int = 42) -> list[DataFrame]:
     """Seeded random split (same rows for the same input partitioning)."""
     return df.randomSplit(list(weights), seed=seed)
 

@@ -16,7 +16,7 @@ from ..session import scratch_path, table
 from .colour import part_colours
 from .registry import register
 
-SEED = 732
+SEED = 42
 P = 6
 
 WITH_YESTERDAY = ["latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax"]

@@ -16,7 +16,7 @@ from .conftest import SF_SMALL
 def test_wordcount_job(spark, tmp_path):
     src = str(tmp_path / "docs")
     table(spark, SF_SMALL, "documents").select("text").write.text(src)
-    jobs.main(["wordcount", src, str(tmp_path / "out")])
+    jobs.main(["word_count", src, str(tmp_path / "out")])
     lines = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
     words = [ln.rsplit(" ", 1)[0] for ln in lines]
     assert words == sorted(words) and len(words) == len(set(words)) > 1000
@@ -26,12 +26,12 @@ def test_reddit_jobs(spark, tmp_path):
     src = str(tmp_path / "comments")
     comments(spark, SF_SMALL).select(F.lower("subreddit").alias("subreddit"),
                                      F.col("score").cast("long").alias("score"), "author").write.json(src)
-    jobs.main(["reddit_average", src, str(tmp_path / "avg")])
+    jobs.main(["keyed_mean", src, str(tmp_path / "avg")])
     avg = spark.read.csv(str(tmp_path / "avg"), schema="subreddit string, average double")
     assert avg.count() == 5
     jobs.main(["relative_score", src, str(tmp_path / "rel"), "true"])
     assert spark.read.text(str(tmp_path / "rel")).count() > 0
-    jobs.main(["reddit_etl", src, str(tmp_path / "etl")])
+    jobs.main(["split_by_sign", src, str(tmp_path / "etl")])
     parts = sorted(d for d in os.listdir(tmp_path / "etl") if d.startswith("sign="))
     assert parts == ["sign=negative", "sign=positive"]
     back = spark.read.json(str(tmp_path / "etl"))
@@ -46,7 +46,7 @@ def test_weather_and_logs_jobs(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "range")).count() > 0
     logs = str(tmp_path / "logs")
     log_lines(spark, SF_SMALL).write.option("compression", "gzip").text(logs)
-    jobs.main(["correlate_logs", logs, str(tmp_path / "r")])
+    jobs.main(["log_correlation", logs, str(tmp_path / "r")])
     r = spark.read.option("header", True).csv(str(tmp_path / "r")).first()
     assert -1.0 <= float(r["r"]) <= 1.0
 
@@ -66,21 +66,21 @@ def test_weather_ml_jobs(spark, tmp_path):
     daily_weather(spark, SF_SMALL).select("station", "date", *[F.col(c).cast("float") for c in
                                           ("latitude", "longitude", "elevation", "tmax")]).write.csv(src)
     model = str(tmp_path / "model")
-    jobs.main(["weather_train", src, model])
+    jobs.main(["tmax_train", src, model])
     m = spark.read.option("header", True).csv(model + "-metrics").first()
     assert float(m["rmse"]) >= 0
-    jobs.main(["weather_tomorrow", src, str(tmp_path / "tomorrow"), model])
+    jobs.main(["tmax_next_day", src, str(tmp_path / "tomorrow"), model])
     out = spark.read.option("header", True).csv(str(tmp_path / "tomorrow"))
     assert out.count() == daily_weather(spark, SF_SMALL).select("station").distinct().count()
-    jobs.main(["weather_test", src, str(tmp_path / "test"), model])
+    jobs.main(["tmax_test", src, str(tmp_path / "test"), model])
     assert spark.read.option("header", True).csv(str(tmp_path / "test")).count() == 1
 
 
-def test_colour_predict_job(spark, tmp_path):
+def test_colour_classify_job(spark, tmp_path):
     from tessera.plans.colour import part_colours
     src = str(tmp_path / "colours")
     part_colours(spark, SF_SMALL).select("R", "G", "B", F.col("p_type").alias("word"),
                                          F.lit("1").alias("confidence")).write.csv(src)
-    jobs.main(["colour_predict", src, str(tmp_path / "f1")])
+    jobs.main(["colour_classify", src, str(tmp_path / "f1")])
     rows = spark.read.option("header", True).csv(str(tmp_path / "f1")).collect()
     assert sorted(r["features"] for r in rows) == ["lab", "rgb"]
