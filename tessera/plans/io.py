@@ -21,7 +21,8 @@ from ..sources.files import (range_source, read_csv, read_delimited_with_file, r
 from ..sources.sinks import (json_array_line, write_csv, write_json, write_n_files,
                              write_single_file, write_table, write_text)
 from .basic import POINT_KEYS
-from .fixtures import LOGS_SQL, WEATHER_SQL, comments, page_counts, weather_observations
+from .fixtures import LOGS_SQL, PAGES_SQL, WEATHER_SQL, comments, page_counts, weather_observations
+from .joins import _wiki
 from .logs import staged_logs
 from .registry import register
 
@@ -160,7 +161,7 @@ SELECT host, count(*) AS x, CAST(sum(bytes) AS BIGINT) AS y FROM logs GROUP BY h
 """)
 def src_table_connector(spark, sf_dir):
     """A keyed log table reached only through a DataSource format name and options."""
-    path = scratch_path(spark, "nasalogs")
+    path = scratch_path(spark, "logtable")
     write_table(staged_logs(spark, sf_dir), "parquet", mode="append", path=path)
     return host_request_bytes(read_table(spark, "parquet", path))
 
@@ -247,20 +248,13 @@ def sink_csv(spark, sf_dir):
     return read_csv(spark, path, "subreddit string, average double, n long")
 
 
-@register("sink_single_file", """
-WITH pagecounts AS (
-  SELECT CASE WHEN event_type = 'click' THEN 'en' ELSE 'fr' END AS language,
-         CASE WHEN user_id = 7 THEN 'Main_Page' ELSE CAST(user_id AS VARCHAR) END AS title,
-         CAST(floor(value) AS BIGINT) AS views, strftime(ts, '%Y%m%d') AS hour
-  FROM events),
-wiki AS (SELECT hour, title, views FROM pagecounts
-         WHERE language = 'en' AND NOT starts_with(title, 'Special:') AND title <> 'Main_Page')
+@register("sink_single_file", f"""
+WITH {PAGES_SQL}
 SELECT hour, title, views, 1 AS files FROM wiki w
 WHERE views = (SELECT max(views) FROM wiki w2 WHERE w2.hour = w.hour)
 """)
 def sink_single_file(spark, sf_dir):
     """A small sorted result written as one part file (one task writes it)."""
-    from .joins import _wiki
     best = keep_max_semi(_wiki(spark, sf_dir), ["hour"], "views").orderBy("hour", "title")
     path = write_single_file(best, scratch_path(spark, "single"), "json")
     back = read_json(spark, path, "hour string, title string, views long")
