@@ -183,10 +183,12 @@ def ml_next_day(spark, sf_dir):
     train, _ = stable_split(daily, F.col("split_key"))
     model = _reference_pipeline().fit(train)
     last = daily.groupBy("station").agg(F.max("date").alias("date"))
-    tomorrow = daily.join(last, ["station", "date"], "left_semi").select(
+    latest = daily.join(last, ["station", "date"], "left_semi")
+    tomorrow = latest.select(
         "station", F.date_add("date", 1).alias("date"), "latitude", "longitude", "elevation",
         F.lit(0.0).alias("tmax"), F.lit(0).cast("long").alias("split_key"))
-    scored = model.transform(daily.unionByName(tomorrow))
+    # only each station's latest day and its placeholder are scored, not the history
+    scored = model.transform(latest.unionByName(tomorrow))
     return scored.join(tomorrow.select("station", "date"), ["station", "date"], "left_semi").select(
         "station", F.date_format("date", "yyyy-MM-dd").alias("date"),
         F.round("prediction", 4).alias("predicted_tmax"))
