@@ -196,7 +196,11 @@ WHERE date_part('month', o_orderdate) = 8 AND date_part('day', o_orderdate) < 6
 GROUP BY 1
 """)
 def src_external_table(spark, sf_dir):
-    """Table defined over files at a location (schema on read), queried in SQL."""
+    """Table defined over files at a location (schema on read), queried in SQL.
+
+    GROUP BY / ORDER BY use the select alias ``pdate``; no input column has
+    that name, so the alias (the day) is the grouping key, not the timestamp.
+    """
     path = scratch_path(spark, "purchases")
     table(spark, sf_dir, "orders").write.mode("overwrite").parquet(path)
     name = "ext_purchases_" + os.path.basename(path).replace("-", "_")
@@ -205,7 +209,7 @@ def src_external_table(spark, sf_dir):
         SELECT date_format(CAST(o_orderdate AS DATE), 'yyyy-MM-dd') AS pdate, round(avg(o_totalprice), {R}) AS avg
         FROM {name}
         WHERE date_part('mon', o_orderdate) = 8 AND date_part('d', o_orderdate) < 6
-        GROUP BY CAST(o_orderdate AS DATE)
+        GROUP BY pdate
         ORDER BY pdate""")
 
 
