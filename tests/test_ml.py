@@ -8,6 +8,8 @@ from tessera.ml.features import regression_metrics, stable_split, weighted_f1
 
 from .conftest import SF_SMALL
 
+pytestmark = pytest.mark.slow
+
 Q = entry.queries()
 
 

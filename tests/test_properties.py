@@ -1,5 +1,6 @@
 """Property tests: custom operators against brute force on random, skewed inputs."""
 
+import pytest
 import statistics
 
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +11,8 @@ from tessera.operators.ordering import sort_with_position
 from tessera.operators.quantiles import exact_median
 from tessera.operators.upsert import upsert_by_key
 
+pytestmark = pytest.mark.slow
+
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 # groups drawn with heavy skew: "hot" is picked far more often than the rest
