@@ -1,8 +1,8 @@
 """Property tests: custom operators against brute force on random, skewed inputs."""
 
-import pytest
 import statistics
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
