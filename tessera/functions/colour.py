@@ -57,16 +57,16 @@ def rgb_to_hsv(r: Column, g: Column, b: Column, input_bytes: bool = True) -> tup
     green exceeds blue, else blue (so ties between channels resolve to
     the later sector, giving 1/6 for r=g>b, 1/2 for g=b>r, 5/6 for r=b>g).
     """
-    r1, g1, b1 = (_unit(c, input_bytes) for c in (r, g, b))
-    hi = F.greatest(r1, g1, b1)
-    delta = hi - F.least(r1, g1, b1)
-    sector = (F.when((r1 > g1) & (r1 > b1), (g1 - b1) / delta)
-              .when(g1 > b1, 2.0 + (b1 - r1) / delta)
-              .otherwise(4.0 + (r1 - g1) / delta))
-    h = F.when(delta == 0, F.lit(0.0)).otherwise(sector) / 6.0
+    red, green, blue = (_unit(c, input_bytes) for c in (r, g, b))
+    value = F.greatest(red, green, blue)
+    chroma = value - F.least(red, green, blue)
+    sector = (F.when((red > green) & (red > blue), (green - blue) / chroma)
+              .when(green > blue, 2.0 + (blue - red) / chroma)
+              .otherwise(4.0 + (red - green) / chroma))
+    h = F.when(chroma == 0, F.lit(0.0)).otherwise(sector) / 6.0
     h = F.when(h < 0, h + 1.0).otherwise(h)
-    s = F.when(delta == 0, F.lit(0.0)).otherwise(delta / hi)
-    return h, s, hi
+    s = F.when(chroma == 0, F.lit(0.0)).otherwise(chroma / value)
+    return h, s, value
 
 
 def lab_to_rgb(l: Column, a: Column, b: Column) -> tuple[Column, Column, Column]:

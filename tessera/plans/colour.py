@@ -31,11 +31,11 @@ def _sql_lab(src: str) -> str:
            for c in "RGB"}
     xyz = []
     for row, w in zip(RGB_TO_XYZ, WHITE_D65):
-        xyz.append(f"(({float(row[0])!r} * r2 + {float(row[1])!r} * g2 + {float(row[2])!r} * b2) / {float(w)!r})")
+        xyz.append(f"(({float(row[0])!r} * lin_r + {float(row[1])!r} * lin_g + {float(row[2])!r} * lin_b) / {float(w)!r})")
     f = {n: f"CASE WHEN {t} > 0.008856 THEN pow({t}, 1.0 / 3.0) ELSE 7.787 * {t} + 16.0 / 116.0 END"
          for n, t in zip(("fx", "fy", "fz"), xyz)}
     return f"""
-lin AS (SELECT *, {lin['R']} AS r2, {lin['G']} AS g2, {lin['B']} AS b2 FROM {src}),
+lin AS (SELECT *, {lin['R']} AS lin_r, {lin['G']} AS lin_g, {lin['B']} AS lin_b FROM {src}),
 lab AS (SELECT *, {f['fx']} AS fx, {f['fy']} AS fy, {f['fz']} AS fz FROM lin)"""
 
 
@@ -54,14 +54,15 @@ def rgb_to_lab_q(spark, sf_dir):
 
 @register("rgb_to_hsv", f"""
 WITH {PART_RGB_SQL},
-u AS (SELECT p_partkey, R, G, B, R / 255.0 AS r1, G / 255.0 AS g1, B / 255.0 AS b1 FROM rgb),
-m AS (SELECT *, greatest(r1, g1, b1) AS hi, greatest(r1, g1, b1) - least(r1, g1, b1) AS delta FROM u),
-h AS (SELECT *, CASE WHEN delta = 0 THEN 0.0
-                     WHEN r1 > g1 AND r1 > b1 THEN (g1 - b1) / delta
-                     WHEN g1 > b1 THEN 2.0 + (b1 - r1) / delta
-                     ELSE 4.0 + (r1 - g1) / delta END / 6.0 AS h0 FROM m)
-SELECT p_partkey, R, G, B, round(CASE WHEN h0 < 0 THEN h0 + 1.0 ELSE h0 END, {P}) AS H,
-       round(CASE WHEN delta = 0 THEN 0.0 ELSE delta / hi END, {P}) AS S, round(hi, {P}) AS V
+u AS (SELECT p_partkey, R, G, B, R / 255.0 AS red, G / 255.0 AS green, B / 255.0 AS blue FROM rgb),
+m AS (SELECT *, greatest(red, green, blue) AS value,
+             greatest(red, green, blue) - least(red, green, blue) AS chroma FROM u),
+h AS (SELECT *, CASE WHEN chroma = 0 THEN 0.0
+                     WHEN red > green AND red > blue THEN (green - blue) / chroma
+                     WHEN green > blue THEN 2.0 + (blue - red) / chroma
+                     ELSE 4.0 + (red - green) / chroma END / 6.0 AS hue FROM m)
+SELECT p_partkey, R, G, B, round(CASE WHEN hue < 0 THEN hue + 1.0 ELSE hue END, {P}) AS H,
+       round(CASE WHEN chroma = 0 THEN 0.0 ELSE chroma / value END, {P}) AS S, round(value, {P}) AS V
 FROM h
 """)
 def rgb_to_hsv_q(spark, sf_dir):
