@@ -103,3 +103,16 @@ def linear_regression(xy: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         F.regr_slope(yc, xc).alias("beta"),
         F.regr_intercept(yc, xc).alias("alpha"),
     )
+
+
+def first_days_average(df: DataFrame, ts: str, value: str, month: int = 8, before_day: int = 6,
+                       out: str = "avg") -> DataFrame:
+    """Mean of ``value`` per calendar day for days 1..before_day-1 of ``month``, any year.
+
+    Grouped by the day (the cast expression), not by the raw timestamp, so
+    two events on one day form one group. ``pdate`` is the day as text.
+    """
+    t = F.col(ts)
+    kept = df.where((F.date_part(F.lit("mon"), t) == month) & (F.date_part(F.lit("d"), t) < before_day))
+    day = F.date_format(F.to_date(t), "yyyy-MM-dd")
+    return kept.groupBy(day.alias("pdate")).agg(F.avg(value).alias(out))

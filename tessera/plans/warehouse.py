@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import first_days_average
 from ..operators.joins import membership_flag, null_safe_on
 from ..operators.quantiles import exact_median
 from ..session import table
@@ -149,7 +150,5 @@ def first_days_avg(spark, sf_dir):
     Grouping is on the day (the cast expression), not the raw timestamp.
     """
     o = table(spark, sf_dir, "orders")
-    ts = F.col("o_orderdate")
-    kept = o.where((F.date_part(F.lit("mon"), ts) == 8) & (F.date_part(F.lit("d"), ts) < 6))
-    day = F.date_format(F.to_date(ts), "yyyy-MM-dd")
-    return kept.groupBy(day.alias("pdate")).agg(F.round(F.avg("o_totalprice"), R).alias("avg")).orderBy("pdate")
+    daily = first_days_average(o, "o_orderdate", "o_totalprice")
+    return daily.select("pdate", F.round("avg", R).alias("avg")).orderBy("pdate")

@@ -354,3 +354,15 @@ def test_upsert_leaves_untouched_rows_and_handles_nulls(spark):
     got = rows(upsert_by_key(base, changes, ["k"], "version"), "k", "v")
     # untouched keys keep every existing row as stored; touched keys collapse to the latest
     assert got == [(1, "a"), (2, "b2"), (3, "c"), (3, "c-old"), (4, "d")]
+
+
+def test_first_days_average_groups_by_day(spark):
+    import datetime as dt
+    from tessera.operators.aggregates import first_days_average
+    df = spark.createDataFrame([
+        (dt.datetime(2021, 8, 1, 9, 0), 10.0), (dt.datetime(2021, 8, 1, 17, 30), 20.0),   # one day
+        (dt.datetime(2020, 8, 5, 0, 0), 7.0),                                              # any year
+        (dt.datetime(2021, 8, 6, 0, 0), 99.0), (dt.datetime(2021, 7, 1, 0, 0), 99.0),      # outside
+    ], "pdate timestamp_ntz, amount double")
+    got = rows(first_days_average(df, "pdate", "amount"), "pdate", "avg")
+    assert got == [("2020-08-05", 7.0), ("2021-08-01", 15.0)]
