@@ -9,9 +9,9 @@ from .functions.json import corrupt_count, decode_json_lines
 from .functions.logs import host_request_bytes, log_wall_clock, parse_log_lines
 from .functions.paths import path_to_hour
 from .functions.text import split_words, words
-from .operators.aggregates import (correlation, distinct_values, first_days_average, global_mean, global_sum, keyed_average,
-                                   keyed_max, keyed_min, keyed_sums, linear_regression,
-                                   pearson_from_sums, six_sums, word_count)
+from .operators.aggregates import (correlation, distinct_values, first_days_average, global_mean,
+                                   global_sum, keyed_average, keyed_max, keyed_min, keyed_sums,
+                                   linear_regression, pearson_from_sums, six_sums, word_count)
 from .operators.extremes import argmax_single, group_max, keep_max_join, keep_max_semi
 from .operators.graph import bfs, bfs_levels, path_from_levels, shortest_path, walk_levels
 from .operators.joins import checked_broadcast, join_checked, membership_flag, relative_score
