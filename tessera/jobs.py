@@ -188,12 +188,13 @@ def job_stream_regression(spark, source, output, fmt="kafka", timeout="600", che
         messages = read_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers, "subscribe": source})
     else:
         messages = read_stream(spark, fmt, source)
-    sink = "console" if output == "-" else "memory"
-    q = start_regression(spark, messages, checkpoint=checkpoint, sink=sink, available_now=False,
-                         truncate="false")
+    if output == "-":
+        q = start_regression(spark, messages, checkpoint=checkpoint, sink="console",
+                             available_now=False, truncate="false")
+    else:   # the running (beta, alpha) table is replaced at ``output`` every micro-batch
+        q = start_regression(spark, messages, checkpoint=checkpoint, sink="table",
+                             available_now=False, table_path=output)
     q.awaitTermination(int(timeout))
-    if sink == "memory":
-        spark.table(q.name).write.mode("overwrite").csv(output, header=True)
     q.stop()
 
 

@@ -46,12 +46,25 @@ def regression_state(points: DataFrame) -> DataFrame:
 
 def start_regression(spark: SparkSession, messages: DataFrame, checkpoint: str | None = None,
                      sink: str = "memory", query_name: str | None = None,
-                     available_now: bool = True, **sink_options) -> StreamingQuery:
-    """Start the streaming query in complete mode; the caller awaits or stops it."""
+                     available_now: bool = True, table_path: str | None = None,
+                     **sink_options) -> StreamingQuery:
+    """Start the streaming query in complete mode; the caller awaits or stops it.
+
+    ``sink`` is a streaming format (``memory``, ``console``) or ``"table"``:
+    file sinks only append, so the complete result is written with
+    ``foreachBatch`` as a Parquet table at ``table_path``, replaced each
+    micro-batch (the checkpoint makes a replayed batch rewrite the same result).
+    """
     result = regression_state(parse_points(messages))
     name = query_name or f"regression_{uuid.uuid4().hex[:12]}"
-    w = (result.writeStream.outputMode("complete").format(sink).queryName(name)
+    w = (result.writeStream.outputMode("complete").queryName(name)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+    if sink == "table":
+        def replace_table(batch: DataFrame, _epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(table_path)
+        w = w.foreachBatch(replace_table)
+    else:
+        w = w.format(sink)
     for k, v in sink_options.items():
         w = w.option(k, v)
     if available_now:

@@ -366,3 +366,16 @@ def test_first_days_average_groups_by_day(spark):
     ], "pdate timestamp_ntz, amount double")
     got = rows(first_days_average(df, "pdate", "amount"), "pdate", "avg")
     assert got == [("2020-08-05", 7.0), ("2021-08-01", 15.0)]
+
+
+def test_stream_to_table_sink(spark, tmp_path):
+    from tessera.streaming.regression import read_stream, start_regression
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("1 1\n2 3\n3 5\n")
+    out = str(tmp_path / "table")
+    q = start_regression(spark, read_stream(spark, "text", str(src)), checkpoint=str(tmp_path / "ck"),
+                         sink="table", table_path=out)
+    q.awaitTermination()
+    r = spark.read.parquet(out).first()
+    assert r["n"] == 3 and r["beta"] == pytest.approx(2.0) and r["alpha"] == pytest.approx(-1.0)
