@@ -84,3 +84,13 @@ def test_colour_classify_job(spark, tmp_path):
     jobs.main(["colour_classify", src, str(tmp_path / "f1")])
     rows = spark.read.option("header", True).csv(str(tmp_path / "f1")).collect()
     assert sorted(r["features"] for r in rows) == ["lab", "rgb"]
+
+
+def test_stream_regression_job(spark, tmp_path):
+    src = tmp_path / "points"
+    src.mkdir()
+    (src / "p.txt").write_text("0 1\n1 3\n2 5\n")
+    out = str(tmp_path / "fit")
+    jobs.main(["stream_regression", str(src), out, "text", "8", str(tmp_path / "ck")])
+    r = spark.read.parquet(out).first()
+    assert r["n"] == 3 and abs(r["beta"] - 2.0) < 1e-9 and abs(r["alpha"] - 1.0) < 1e-9
