@@ -379,3 +379,12 @@ def test_stream_to_table_sink(spark, tmp_path):
     q.awaitTermination()
     r = spark.read.parquet(out).first()
     assert r["n"] == 3 and r["beta"] == pytest.approx(2.0) and r["alpha"] == pytest.approx(-1.0)
+
+
+def test_upsert_compound_key(spark):
+    base = spark.createDataFrame([("h1", "a", 100, 1), ("h1", "b", 200, 1), ("h2", "a", 300, 1)],
+                                 "host string, id string, bytes long, version int")
+    changes = spark.createDataFrame([("h1", "b", 250, 2), ("h2", "b", 50, 2)],
+                                    "host string, id string, bytes long, version int")
+    got = rows(upsert_by_key(base, changes, ["host", "id"], "version"), "host", "id", "bytes")
+    assert got == [("h1", "a", 100), ("h1", "b", 250), ("h2", "a", 300), ("h2", "b", 50)]
