@@ -94,3 +94,34 @@ def test_stream_regression_job(spark, tmp_path):
     jobs.main(["stream_regression", str(src), out, "text", "8", str(tmp_path / "ck")])
     r = spark.read.parquet(out).first()
     assert r["n"] == 3 and abs(r["beta"] - 2.0) < 1e-9 and abs(r["alpha"] - 1.0) < 1e-9
+
+
+def test_file_format_jobs(spark, tmp_path):
+    import __spark_entry__ as entry
+    from tessera.plans.io import _pagecount_files
+    q = entry.queries()
+    # page counts per hour, hour from each file's name
+    pages = _pagecount_files(spark, SF_SMALL)
+    jobs.main(["popular_per_hour", pages, str(tmp_path / "pop")])
+    assert spark.read.json(str(tmp_path / "pop")).count() == q["path_to_hour"](spark, SF_SMALL).count()
+    # weather ETL to gzip JSON
+    obs = str(tmp_path / "obs")
+    weather_observations(spark, SF_SMALL).write.csv(obs)
+    jobs.main(["weather_etl", obs, str(tmp_path / "etl"), "1"])
+    assert spark.read.json(str(tmp_path / "etl")).count() == q["weather_etl"](spark, SF_SMALL).count()
+    # keyed mean from raw JSON lines (scores as numbers or quoted numbers)
+    lines = str(tmp_path / "lines")
+    spark.createDataFrame([('{"subreddit": "a", "score": "4"}',), ('{"subreddit": "a", "score": 2}',),
+                           ('{"subreddit": "b", "score": 1}',), ("not json",)], "value string").write.text(lines)
+    jobs.main(["keyed_mean_lines", lines, str(tmp_path / "km")])
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "km")).collect()) == ['["a", 3.0]', '["b", 1.0]']
+    # log rows appended twice to a table by format name
+    logs = str(tmp_path / "logs")
+    log_lines(spark, SF_SMALL).write.text(logs)
+    table_path = str(tmp_path / "logtable")
+    jobs.main(["log_table_append", logs, table_path])
+    jobs.main(["log_table_append", logs, table_path])
+    t = spark.read.parquet(table_path)
+    parsed = q["log_parse"](spark, SF_SMALL).count()
+    assert t.count() == 2 * parsed                       # both batches, every row
+    assert t.select("id").distinct().count() == t.count()   # one fresh id per row
