@@ -1,7 +1,7 @@
 """Time the headline queries on the driver tables and print one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [name ...]
-    (optional: BENCH_REPEAT=n, BENCH_WARM_DIR=dir, BENCH_EVENT_LOG=dir)
+    (optional: BENCH_REPEAT=n, BENCH_WARM_DIR=dir, BENCH_EVENT_LOG=dir, BENCH_SHUFFLE_PARTITIONS=n)
 
 Each query is run to completion with the ``noop`` sink (every row is
 produced, nothing is collected to the driver). Before timing, every query
@@ -51,7 +51,8 @@ def main(argv):
     if os.environ.get("BENCH_EVENT_LOG"):      # stage/task times for offline study (no UI)
         os.makedirs(os.environ["BENCH_EVENT_LOG"], exist_ok=True)
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app_name="tessera-bench",
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, app_name="tessera-bench",
                           extra=extra)
     registry.load_all()
     warm_dir = os.environ.get("BENCH_WARM_DIR",
