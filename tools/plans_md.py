@@ -37,7 +37,9 @@ NOTES = {
     "wordcount": "The broadcast side is the per-partition offset table (one row per partition, ordered in a tiny "
                  "window); the big side is the checkpointed, range-partitioned counts. No unpartitioned window "
                  "over the rows.",
-    "spend_by_region": "Exact median branch: range partitioning by (flags, value, row id), per-(partition, group) "
+    "spend_by_region": "The fact-side joins run once and are checkpointed as a narrow (flags, key, amount) table; "
+                       "both branches read it (scans of ExistingRDD). Exact median branch: range partitioning by "
+                       "(flags, value, row id), per-(partition, group) "
                        "counts with a window over at most partitions rows per group, then the middle rows picked "
                        "by a semi join against a size-checked broadcast of at most two rows per group. The "
                        "count/avg branch uses partial aggregation. The two tiny results are joined null-safely on "
