@@ -388,3 +388,31 @@ def test_upsert_compound_key(spark):
                                     "host string, id string, bytes long, version int")
     got = rows(upsert_by_key(base, changes, ["host", "id"], "version"), "host", "id", "bytes")
     assert got == [("h1", "a", 100), ("h1", "b", 250), ("h2", "a", 300), ("h2", "b", 50)]
+
+
+def test_shared_root_rules():
+    from tessera.session import scratch_path, shared_root
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class Ctx:
+        def __init__(self, master, value):
+            self.master, self._conf = master, Conf(value)
+
+        def getConf(self):
+            return self._conf
+
+    class Session:
+        def __init__(self, master, value):
+            self.sparkContext = Ctx(master, value)
+
+    with pytest.raises(RuntimeError):                      # a cluster without a shared folder
+        shared_root(Session("yarn", None))
+    assert shared_root(Session("yarn", "hdfs:///shared/ckpt/")) == "hdfs:///shared/ckpt"
+    p = scratch_path(Session("k8s://x", "s3a://bucket/ckpt"), "part")
+    assert p.startswith("s3a://bucket/ckpt/scratch/part-")
