@@ -414,5 +414,5 @@ def test_shared_root_rules():
     with pytest.raises(RuntimeError):                      # a cluster without a shared folder
         shared_root(Session("yarn", None))
     assert shared_root(Session("yarn", "hdfs:///shared/ckpt/")) == "hdfs:///shared/ckpt"
-    p = scratch_path(Session("k8s://x", "s3a://bucket/ckpt"), "part")
-    assert p.startswith("s3a://bucket/ckpt/scratch/part-")
+    p = scratch_path(Session("spark://host:7077", "hdfs:///jobs/ckpt"), "part")
+    assert p.startswith("hdfs:///jobs/ckpt/scratch/part-")
