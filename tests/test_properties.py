@@ -67,3 +67,33 @@ def test_upsert_property(spark, base, changes):
         if k not in expect or (ver, v) > expect[k]:
             expect[k] = (ver, v)
     assert got == sorted((k, v) for k, (_, v) in expect.items())
+
+
+def _python_bfs(edges, start, max_depth):
+    dist, frontier = {start: 0}, {start}
+    for d in range(1, max_depth + 1):
+        nxt = {b for a, b in edges if a in frontier and b not in dist}
+        if not nxt:
+            break
+        for n in nxt:
+            dist[n] = d
+        frontier = nxt
+    parent = {n: min(a for a, b in edges if b == n and dist.get(a) == dist[n] - 1)
+              for n in dist if n != start}
+    return dist, parent
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.sets(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=40),
+       st.integers(1, 6))
+def test_bfs_matches_python(spark, edge_set, depth):
+    from tessera.operators.graph import bfs, walk_levels
+    edges = sorted(edge_set)
+    df = spark.createDataFrame(edges, "node long, neighbour long")
+    dist, parent = _python_bfs(edges, 0, depth)
+    got = {r["node"]: (r["distance"], r["source"]) for r in bfs(df, 0, depth).collect()}
+    assert got == {n: (d, parent.get(n)) for n, d in dist.items()}
+    every_parent = {(r["node"], r["source"], r["distance"]) for r in walk_levels(df, 0, depth).collect()}
+    expect = {(0, None, 0)} | {(b, a, dist[b]) for a, b in edges
+                               if b in dist and b != 0 and dist.get(a) == dist[b] - 1}
+    assert every_parent == expect
