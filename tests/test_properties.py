@@ -97,3 +97,34 @@ def test_bfs_matches_python(spark, edge_set, depth):
     expect = {(0, None, 0)} | {(b, a, dist[b]) for a, b in edges
                                if b in dist and b != 0 and dist.get(a) == dist[b] - 1}
     assert every_parent == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["k1"] * 4 + ["k2", "k3"]), st.integers(-5, 9), st.text("xyz", min_size=1, max_size=3)),
+                min_size=1, max_size=120), st.booleans())
+def test_relative_score_property(spark, data, broadcast):
+    from tessera.operators.joins import relative_score
+    df = spark.createDataFrame([(k, float(s), a) for k, s, a in data], "k string, score double, author string")
+    sums = {}
+    for k, s, _ in data:
+        n, t = sums.get(k, (0, 0.0))
+        sums[k] = (n + 1, t + s)
+    avg = {k: t / n for k, (n, t) in sums.items()}
+    expect = sorted((a, s / avg[k]) for k, s, a in data if avg[k] > 0)
+    got = sorted((r.author, r.relative_score)
+                 for r in relative_score(df, "k", "score", "author", broadcast_averages=broadcast).collect())
+    assert [a for a, _ in got] == [a for a, _ in expect]
+    assert [v for _, v in got] == pytest.approx([v for _, v in expect])
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from("abcd")), max_size=30),
+       st.lists(st.one_of(st.none(), st.sampled_from("abc")), max_size=10))
+def test_membership_flag_property(spark, probes, members):
+    from pyspark.sql import functions as F
+    from tessera.operators.joins import membership_flag
+    df = spark.createDataFrame(list(enumerate(probes)), "i int, p string")
+    m = spark.createDataFrame([(x,) for x in members], "m string")
+    got = sorted((r.i, r.flag) for r in membership_flag(df, F.col("p"), m, "m", "flag").collect())
+    present = {x for x in members if x is not None}
+    assert got == [(i, None if p is None else int(p in present)) for i, p in enumerate(probes)]
