@@ -194,6 +194,7 @@ def job_stream_regression(spark, source, output, fmt="kafka", timeout="600", che
     else:   # the running (beta, alpha) table is replaced at ``output`` every micro-batch
         q = start_regression(spark, messages, checkpoint=checkpoint, sink="table",
                              available_now=False, table_path=output)
+    q.processAllAvailable()          # what is already there is processed and written first
     q.awaitTermination(int(timeout))
     q.stop()
 
