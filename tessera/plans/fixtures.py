@@ -51,6 +51,13 @@ def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def english_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English article rows (hour, title, views): no special pages, no main page."""
+    pc = page_counts(spark, sf_dir)
+    return pc.where((F.col("language") == "en") & ~F.col("title").startswith("Special:")
+                    & (F.col("title") != "Main_Page")).select("hour", "title", "views")
+
+
 PAGES_SQL = """
 pagecounts AS (
   SELECT CASE WHEN event_type = 'click' THEN 'en' ELSE 'fr' END AS language,

@@ -21,8 +21,8 @@ from ..sources.files import (range_source, read_csv, read_delimited_with_file, r
 from ..sources.sinks import (json_array_line, write_csv, write_json, write_n_files,
                              write_single_file, write_table, write_text)
 from .basic import POINT_KEYS
-from .fixtures import LOGS_SQL, PAGES_SQL, WEATHER_SQL, comments, page_counts, weather_observations
-from .joins import _wiki
+from .fixtures import (LOGS_SQL, PAGES_SQL, WEATHER_SQL, comments, english_pages, page_counts,
+                       weather_observations)
 from .logs import staged_logs
 from .registry import register
 
@@ -259,7 +259,7 @@ WHERE views = (SELECT max(views) FROM wiki w2 WHERE w2.hour = w.hour)
 """)
 def sink_single_file(spark, sf_dir):
     """A small sorted result written as one part file (one task writes it)."""
-    best = keep_max_semi(_wiki(spark, sf_dir), ["hour"], "views").orderBy("hour", "title")
+    best = keep_max_semi(english_pages(spark, sf_dir), ["hour"], "views").orderBy("hour", "title")
     path = write_single_file(best, scratch_path(spark, "single"), "json")
     back = read_json(spark, path, "hour string, title string, views long")
     n_files = back.select(F.col("_metadata.file_name")).distinct().count()

@@ -8,7 +8,7 @@ from ..operators.extremes import argmax_single, keep_max_semi
 from ..operators.joins import relative_score
 from ..operators.ordering import sort_with_position
 from ..operators.weather import max_range_per_day, max_range_per_day_pivot, max_range_per_day_sql
-from .fixtures import PAGES_SQL, WEATHER_SQL, comments, page_counts, weather_observations
+from .fixtures import PAGES_SQL, WEATHER_SQL, comments, english_pages, weather_observations
 from .registry import register
 
 R = 4
@@ -70,12 +70,6 @@ def temp_range_pivot(spark, sf_dir):
     return max_range_per_day_pivot(weather_observations(spark, sf_dir))
 
 
-def _wiki(spark, sf_dir):
-    pc = page_counts(spark, sf_dir)
-    return pc.where((F.col("language") == "en") & ~F.col("title").startswith("Special:")
-                    & (F.col("title") != "Main_Page")).select("hour", "title", "views")
-
-
 POPULAR_SQL = f"""
 WITH {PAGES_SQL}
 SELECT hour, title, views FROM wiki w
@@ -86,12 +80,12 @@ WHERE views = (SELECT max(views) FROM wiki w2 WHERE w2.hour = w.hour)
 @register("popular_per_hour", POPULAR_SQL)
 def popular_per_hour(spark, sf_dir):
     """Every page tied for the hour's most views (left-semi join on hour, views)."""
-    return keep_max_semi(_wiki(spark, sf_dir), ["hour"], "views").orderBy("hour", "title")
+    return keep_max_semi(english_pages(spark, sf_dir), ["hour"], "views").orderBy("hour", "title")
 
 
 @register("popular_per_hour_broadcast", POPULAR_SQL)
 def popular_per_hour_broadcast(spark, sf_dir):
-    return keep_max_semi(_wiki(spark, sf_dir), ["hour"], "views", broadcast=True).orderBy("hour", "title")
+    return keep_max_semi(english_pages(spark, sf_dir), ["hour"], "views", broadcast=True).orderBy("hour", "title")
 
 
 @register("argmax_single", f"""
@@ -103,4 +97,4 @@ GROUP BY w.hour, w.views
 """)
 def argmax_single_q(spark, sf_dir):
     """One page per hour: the largest (views, title) pair."""
-    return argmax_single(_wiki(spark, sf_dir), ["hour"], "views", "title")
+    return argmax_single(english_pages(spark, sf_dir), ["hour"], "views", "title")
