@@ -63,3 +63,16 @@ def stage_sorted(df: DataFrame, order: list[str], name: str) -> DataFrame:
            .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
            .drop("_mid"))
     return stage(out, name)
+
+
+def slices(batch, sizes, max_bytes: int = 4 << 20):
+    """Cut an Arrow batch into zero-copy slices of about ``max_bytes`` (at least one row each),
+    so that a Python task's arrays stay small whatever the batch size."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > max_bytes:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if batch.num_rows > start:
+        yield batch.slice(start)

@@ -40,6 +40,19 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP6 = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)
+         / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM p)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
 OP7 = rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (
@@ -62,6 +75,7 @@ FROM d WINDOW same AS (PARTITION BY t)
 
 ORACLE: dict[str, str] = {
     "op5_mixing": OP5.strip(),
+    "op6_ann": OP6.strip(),
     "op7_line_dedup": OP7.strip(),
     "op9_exact_dedup": OP9.strip(),
 }

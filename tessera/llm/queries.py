@@ -8,11 +8,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.ann import nearest
 from tessera.llm.common import documents
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.mixing import mix_sources
+from tessera.llm.quality import quality
 from tessera.llm.sharding import balanced_shards
+from tessera.llm.toxicity import toxicity
+from tessera.session import table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the first offending sentence by byte offsets."""
+    out = toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    first = F.get("offending", F.lit(0))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"),
+                      first["begin"].alias("first_begin"), first["end"].alias("first_end"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +42,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows by cosine for each row whose id is divisible by 50."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 code points or more in at least 5 documents stay in the last of these only."""
     return line_dedup(documents(spark, sf_dir), min_chars=40, min_docs=5).select(
@@ -37,8 +59,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_ann": op6_ann,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
