@@ -13,12 +13,23 @@ from tessera.llm.common import documents
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.mixing import mix_sources
+from tessera.llm.piece_codec import encode_documents
 from tessera.llm.quality import quality
 from tessera.llm.sharding import balanced_shards
+from tessera.llm.token_counts import count_tokens
 from tessera.llm.toxicity import toxicity
 from tessera.session import table
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str = PIECE_MODEL) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the first offending sentence by byte offsets."""
     out = toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
@@ -53,11 +64,25 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode with the end id, decode again, and check that the pieces' spans tile the text."""
+    out = encode_documents(documents(spark, sf_dir), tokenizer_path())
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+                      F.element_at("ends", -1).alias("n_bytes_covered"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup(documents(spark, sf_dir), keep="max")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text, and whether they exceed 4096 tokens."""
+    return count_tokens(documents(spark, sf_dir), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
@@ -65,5 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_ann": op6_ann,
     "op7_line_dedup": op7_line_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
