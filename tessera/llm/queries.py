@@ -12,6 +12,7 @@ from tessera.llm.ann import nearest
 from tessera.llm.common import documents
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.line_dedup import line_dedup
+from tessera.llm.minhash_dedup import near_duplicates
 from tessera.llm.mixing import mix_sources
 from tessera.llm.piece_codec import encode_documents
 from tessera.llm.quality import quality
@@ -38,6 +39,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       first["begin"].alias("first_begin"), first["end"].alias("first_end"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups: Jaccard similarity of 5-word shingles of 0.75 or more."""
+    return near_duplicates(documents(spark, sf_dir), percent=75)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     return quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
@@ -85,6 +91,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,

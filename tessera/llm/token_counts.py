@@ -163,7 +163,7 @@ def _block_counter(data: bytes, cache_chunks: int):
             number = part.column("_block").to_numpy(zero_copy_only=False)
             for i in np.flatnonzero(~single):
                 text = texts[int(i)].as_py()
-                head[i], tokens[i], tail[i], closed[i] = block_map(counter.__getitem__, " " * (number[i] == 0) + text)
+                head[i], tokens[i], tail[i], closed[i] = block_map(counter.__getitem__, (" " if number[i] == 0 else "") + text)
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:-1], pa.array(head), pa.array(tokens), pa.array(tail), pa.array(closed)],
                 names=[*part.schema.names[:-1], "_head", "_tokens", "_tail", "_closed"])
