@@ -1,8 +1,8 @@
 """Exact dedup by content sort (native: DataFrame functions only).
 
-Sampled splitters range-partition the rows by their text, an external sort
-puts equal texts side by side, and the window over neighbouring equal texts
-compares them in full and picks the row that stays.
+Sampled splitters range-partition the rows by content (the text's beginning,
+then its hash), an external sort puts equal texts side by side, and the window
+over neighbouring equal texts compares them in full and picks the row that stays.
 
 A text that holds a large share of all rows would end in one range. Such
 texts are found first from a map-side combined count of 64-bit hashes (at
@@ -50,8 +50,10 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .join(F.broadcast(hot_texts(docs, text_col)), F.col("_hash") == F.col("_hot"), "left")
             .withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0))
                         .otherwise(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(salts))).cast("int")))
-    ranged = rows.repartitionByRange(partitions(docs.sparkSession), "_t", "_salt")
-    same = Window.partitionBy("_t", "_salt")  # the range partitioning satisfies it: no second exchange
+    # Splitters are sampled by the driver: they hold the text's beginning and its hash, not the text.
+    place = ["_start", "_hash", "_salt"]
+    ranged = rows.withColumn("_start", F.substring("_t", 1, 32)).repartitionByRange(partitions(docs.sparkSession), *place)
+    same = Window.partitionBy(*place, "_t")  # the range partitioning satisfies it: no second exchange
     by_id = F.col("_id").desc_nulls_last() if keep == "max" else F.col("_id").asc_nulls_last()
     marked = (ranged
               .withColumn("_n", F.row_number().over(same.orderBy(by_id)))
