@@ -236,7 +236,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, block: int = 64)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-                    block: int = 256) -> DataFrame:
+                    block: int = 1024) -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` (smallest id reachable), ``kept``."""
     base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
     rows = stage(base.mapInArrow(_signed, "_id long, _n long, _digest binary, _sig binary"), "mh-rows")
@@ -256,8 +256,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = stage(met.join(pivots, "_key").where("_rep <> _pivot")
                  .select(F.col("_pivot").alias("_a"), F.col("_rep").alias("_b")).distinct(), "mh-star")
     sets = stage(base.where("_id is not null").join(popular.select(F.col("_rep").alias("_id")), "_id")
-                 .select("_id", "text").mapInArrow(_sets, "_id long, _set binary"), "mh-sets")
-    sizes = classes.groupBy(F.col("_rep")).agg(F.max("_n").alias("_max"), F.min("_n").alias("_min"))
+                 .select("_id", "text").mapInArrow(_sets, "_id long, _set binary").where("octet_length(_set) > 0"), "mh-sets")
+    sizes = stage(classes.groupBy("_rep").agg(F.max("_n").alias("_max"), F.min("_n").alias("_min")), "mh-sizes")
     near = (star.join(sizes.toDF("_a", "_max_a", "_min_a"), "_a").join(sizes.toDF("_b", "_max_b", "_min_b"), "_b")
             .where(f"100 * _max_a >= {percent} * _min_b and 100 * _max_b >= {percent} * _min_a").select("_a", "_b"))
     links = stage(confirmed(near, sets, percent), "mh-links")
@@ -267,12 +267,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = met.join(labels.withColumnRenamed("_node", "_rep"), "_rep", "left").withColumn(
         "_comp", F.coalesce("_label", "_rep")).select("_key", "_rep", "_members", "_comp")
     known = stage(known, "mh-known")
-    mixed = stage(known.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"))
-                  .where("_lo <> _hi").select("_key"), "mh-mixed")
-    parts = F.ceil(F.col("_members") / block).cast("int")
-    rest = (known.join(mixed, "_key").withColumn("_parts", parts)
-            .withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_parts")).cast("int"))
-            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    # In a large bucket the members of its main component needn't meet each other, only the others.
+    of_comp = known.groupBy("_key", "_comp").agg(F.count(F.lit(1)).alias("_of_comp"))
+    n_rest = F.sum("_of_comp") - F.max("_of_comp")
+    mixed = stage(of_comp.groupBy("_key").agg(
+        F.max_by("_comp", F.struct("_of_comp", "_comp")).alias("_main"),
+        F.ceil(F.max("_of_comp") / block).cast("int").alias("_main_blocks"),
+        F.ceil(n_rest / block).cast("int").alias("_rest_blocks"), F.sum("_of_comp").alias("_all"),
+        F.count(F.lit(1)).alias("_comps")).where("_comps > 1").drop("_comps"), "mh-mixed")
+    small, is_main = F.col("_all") <= block, F.col("_comp") == F.col("_main")
+    coin = F.xxhash64("_rep")
+    own = (F.when(small, F.lit(0)).when(is_main, F.col("_rest_blocks") + F.pmod(coin, F.col("_main_blocks")))
+           .otherwise(F.pmod(coin, F.col("_rest_blocks"))).cast("int"))
+    others = F.when(small, F.lit(1)).when(is_main, F.col("_rest_blocks")).otherwise(
+        F.col("_rest_blocks") + F.col("_main_blocks"))
+    rest = (known.join(mixed, "_key").withColumn("_block", own)
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), others - 1)))
             .select("_key", F.least("_block", "_other").alias("_block_a"), F.greatest("_block", "_other").alias("_block_b"),
                     "_block", "_rep", "_comp")
             .join(classes.select("_rep", "_n", "_sig"), "_rep"))
