@@ -65,7 +65,7 @@ def stage_sorted(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return stage(out, name)
 
 
-def slices(batch, sizes, max_bytes: int = 4 << 20):
+def slices(batch, sizes, max_bytes: int = 1 << 20):
     """Cut an Arrow batch into zero-copy slices of about ``max_bytes`` (at least one row each),
     so that a Python task's arrays stay small whatever the batch size."""
     start, total = 0, 0

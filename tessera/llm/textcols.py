@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from tessera.llm.common import slices
 
 
-def text_slices(batches, text_field: str = "text", max_bytes: int = 4 << 20):
+def text_slices(batches, text_field: str = "text", max_bytes: int = 1 << 20):
     """(slice, its texts as a string array without nulls), slice by slice."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text_field)), 0).to_numpy(zero_copy_only=False)

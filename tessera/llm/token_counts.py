@@ -4,8 +4,8 @@ A BPE vocabulary is turned into a deterministic transducer over the characters
 of a chunk ("spaces, then other characters"). Of the pieces that end at a place
 exactly one is the last piece of the text up to there: the one that stays apart
 from the last piece before it when the two are merged on their own. A state
-keeps the last pieces of as many places as the longest piece can reach back,
-and a transition is annotated with the change of the number of tokens emitted
+keeps, for the places where a piece that hasn't ended yet may have begun, the
+last piece before it, and a transition is annotated with the change of the number of tokens emitted
 so far. States and transitions are compiled when first met and kept up to a
 bound.
 
@@ -40,11 +40,13 @@ class Transducer:
         if not (model.chunked and model.normalizer.plain):
             raise ValueError("the model normalises or joins texts across spaces")
         self.model, self.max_states = model, max_states
+        self.prefixes = {p[:n] for p in model.score for n in range(1, len(p))}
         self.reset()
 
     def reset(self) -> None:
-        #: a state: text of the window, and of each place in it (its start first) the last piece's length and the tokens so far
-        self.states: list = [("", (0,), (0,))]
+        #: a state: (characters since that place, last piece before it, tokens up to it less those up to here)
+        #: for each place where a piece that is still to end may have begun; the last one is "here"
+        self.states: list = [(("", "", 0),)]
         self.number: dict = {self.states[0]: 0}
         self.moves: dict = {}
         self.apart: dict = {}
@@ -57,25 +59,16 @@ class Transducer:
         return got
 
     def _compile(self, state: int, c: str) -> tuple[int, int]:
-        text, last, tokens = self.states[state]
-        text += c
-        reach = self.model.longest
-        for n in range(min(reach, len(last)), 0, -1):
-            piece = text[-n:]
-            if n > 1 and piece not in self.model.score:
-                continue
-            at = len(text) - n
-            if self._apart(text[at - last[-n]:at], piece):
+        places, score = self.states[state], self.model.score
+        for since, last, tokens in places:
+            piece = since + c
+            if (not since or piece in score) and self._apart(last, piece):
                 break
         else:
             raise AssertionError("no last piece")
-        emitted = tokens[-n] + (1 if piece in self.model.score else len(piece.encode("utf-8")))
-        change = emitted - tokens[-1]
-        last, tokens = (*last, n)[-reach:], (*tokens, emitted)[-reach:]
-        # only differences count; the text reaches back to the start of the oldest last piece
-        tokens = tuple(t - tokens[-1] for t in tokens)
-        text = text[-(len(last) - 1 + last[0]):] if len(last) - 1 + last[0] else ""
-        key = (text, last, tokens)
+        change = tokens + (1 if piece in score else len(piece.encode("utf-8")))
+        key = (*((since + c, last, tokens - change) for since, last, tokens in places if since + c in self.prefixes),
+               ("", piece, 0))
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
@@ -85,7 +78,7 @@ class Transducer:
 
     def count(self, chunk: str) -> int:
         """Tokens of one chunk in source form."""
-        if len(self.states) > self.max_states:
+        if len(self.states) > self.max_states or len(self.apart) > 2 * self.max_states:
             self.reset()
         state = total = 0
         moves = self.moves
@@ -188,7 +181,7 @@ def _composer(data: bytes, cache_chunks: int):
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 block_chars: int = 1 << 16, cache_chunks: int = 300_000) -> DataFrame:
+                 block_chars: int = 1 << 16, cache_chunks: int = 150_000) -> DataFrame:
     """Per document: id, ``n_bytes``, ``n_tokens``."""
     with open(model_path, "rb") as f:
         data = f.read()
