@@ -26,12 +26,12 @@ def parse_log_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """(host, datetime, path, bytes); lines that do not match are dropped.
 
     One regex pass per line: a matching line is rewritten into its four
-    groups joined by U+0001 (groups never contain it: they are \\S+ / \\d+),
+    groups joined by a space (no group can hold one: they are \\S+ / \\d+),
     a non-matching line comes back unchanged and is filtered out.
     The zone offset is matched but not applied: ``datetime`` is the wall
     clock as written (timestamp without time zone). Bytes are 64-bit.
     """
-    sep = "\u0001"
+    sep = " "
     v = F.col(col)
     rewritten = F.regexp_replace(v, LOG_PATTERN, f"$1{sep}$2{sep}$3{sep}$4")
     matched = (lines.select(v.alias("_line"), rewritten.alias("_groups"))

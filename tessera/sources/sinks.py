@@ -19,8 +19,11 @@ def write_text(lines: DataFrame | Column, path: str, df: DataFrame | None = None
 
 def json_array_line(*cols: Column) -> Column:
     """``[v1, v2, ...]`` text per row, each value JSON-encoded (NULL → null)."""
-    items = [F.when(c.isNull(), F.lit("null")).otherwise(
-        F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)) for c in cols]
+    def item(c: Column) -> Column:
+        whole = F.to_json(F.struct(c.alias("v")))   # {"v":...}, cut by position: a value may hold any line break
+        return F.when(c.isNull(), F.lit("null")).otherwise(F.substring(whole, F.lit(6), F.char_length(whole) - 6))
+
+    items = [item(c) for c in cols]
     return F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
 
 
