@@ -53,20 +53,20 @@ def rgb_to_lab(r: Column, g: Column, b: Column, input_bytes: bool = True) -> tup
 def rgb_to_hsv(r: Column, g: Column, b: Column, input_bytes: bool = True) -> tuple[Column, Column, Column]:
     """(h, s, v), h in [0, 1). Grey (no chroma) gives h = s = 0.
 
-    Hue sector: red if red is strictly the largest channel, else green if
-    green exceeds blue, else blue (so ties between channels resolve to
-    the later sector, giving 1/6 for r=g>b, 1/2 for g=b>r, 5/6 for r=b>g).
+    The three channels sit a third of the circle apart; the hue starts at the
+    place of a channel that equals the maximum and moves by the difference of
+    the other two. Where two channels share the maximum, both starts lead to
+    the same hue (1/6, 1/2 or 5/6).
     """
-    red, green, blue = (_unit(c, input_bytes) for c in (r, g, b))
-    value = F.greatest(red, green, blue)
-    chroma = value - F.least(red, green, blue)
-    sector = (F.when((red > green) & (red > blue), (green - blue) / chroma)
-              .when(green > blue, 2.0 + (blue - red) / chroma)
-              .otherwise(4.0 + (red - green) / chroma))
-    h = F.when(chroma == 0, F.lit(0.0)).otherwise(sector) / 6.0
-    h = F.when(h < 0, h + 1.0).otherwise(h)
-    s = F.when(chroma == 0, F.lit(0.0)).otherwise(chroma / value)
-    return h, s, value
+    channels = [c.cast("double") for c in (r, g, b)]  # hue and saturation are ratios: no scaling, no rounding
+    top = F.greatest(*channels)
+    spread = top - F.least(*channels)
+    sixths = F.coalesce(*[
+        F.when(channels[k] == top, 2.0 * k + (channels[(k + 1) % 3] - channels[k - 1]) / F.nullif(spread, F.lit(0.0)))
+        for k in range(3)])
+    hue = F.when(top.isNotNull(), F.coalesce(F.pmod(sixths, F.lit(6.0)) / 6.0, F.lit(0.0)))
+    saturation = F.when(top.isNotNull(), F.coalesce(spread / F.nullif(top, F.lit(0.0)), F.lit(0.0)))
+    return hue, saturation, _unit(top, input_bytes)
 
 
 def lab_to_rgb(l: Column, a: Column, b: Column) -> tuple[Column, Column, Column]:

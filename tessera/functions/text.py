@@ -43,3 +43,8 @@ def words(text: Column) -> Column:
 def format_pair(key: Column, count: Column) -> Column:
     """``'%s %i'`` line of a key and an integer count."""
     return F.format_string("%s %d", key, count)
+
+
+def score_sign(score: Column) -> Column:
+    """positive (above 0), negative (0 or less), or NULL for a missing score."""
+    return F.when(score > 0, "positive").when(score <= 0, "negative")

@@ -14,10 +14,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .functions.json import decode_json_lines
+from .functions.json import corrupt_count, decode_json_lines
 from .functions.logs import host_request_bytes, parse_log_lines
 from .functions.paths import path_to_hour
-from .functions.text import format_pair
+from .functions.text import format_pair, score_sign
 from .operators.aggregates import keyed_average, word_count
 from .operators.extremes import keep_max_semi
 from .operators.graph import bfs_levels, path_from_levels
@@ -53,24 +53,32 @@ def job_keyed_mean(spark, inputs, output):
 
 
 def job_keyed_mean_lines(spark, inputs, output):
-    """Same from raw lines; the score may be a number or a quoted number."""
+    """Same from raw lines; the score may be a number or a quoted number. The count of
+    lines that are no JSON objects goes to ``<output>-corrupt``."""
     dec = decode_json_lines(read_text(spark, inputs), "subreddit string, score string")
     rows = dec.where(~F.col("_corrupt")).select("subreddit", F.col("score").try_cast("double").alias("score"))
     avg = keyed_average(rows, "subreddit", "score")
     write_text(json_array_line(F.col("subreddit"), F.col("average")), output, df=avg)
+    write_csv(corrupt_count(dec), output + "-corrupt", header=True)
+
+
+def scored_comments(spark, inputs):
+    """Comments whose score may be a number or a quoted number."""
+    loose = COMMENT_SCHEMA.replace(" score long", " score string")
+    return read_json(spark, inputs, loose).withColumn("score", F.col("score").try_cast("long"))
 
 
 def job_split_by_sign(spark, inputs, output):
-    """Comments of subreddits containing 'e', split into positive/ and negative/ by score."""
-    c = read_json(spark, inputs, COMMENT_SCHEMA).where(F.col("subreddit").contains("e"))
-    rows = c.select("subreddit", "score", "author",
-                    F.when(F.col("score") > 0, "positive").otherwise("negative").alias("sign"))
+    """Comments of subreddits containing 'e', split into positive/ and negative/ by score;
+    a comment without a score is in neither."""
+    c = scored_comments(spark, inputs).where(F.col("subreddit").contains("e"))
+    rows = c.select("subreddit", "score", "author", score_sign(F.col("score")).alias("sign")).where("sign IS NOT NULL")
     write_split(rows, output, "sign")
 
 
 def job_relative_score(spark, inputs, output, broadcast="false"):
     """Each comment's score relative to its subreddit's average, best first."""
-    c = read_json(spark, inputs, COMMENT_SCHEMA)
+    c = scored_comments(spark, inputs)
     rel = relative_score(c, "subreddit", "score", "author", broadcast_averages=broadcast == "true")
     ordered = rel.orderBy(F.desc("relative_score"), "author")
     write_text(json_array_line(F.col("relative_score"), F.col("author")), output, df=ordered)

@@ -55,13 +55,15 @@ def relative_score(df: DataFrame, key: str, score: str, author: str,
     The averages are a partial+final aggregate (one row per key) joined
     back to the rows; groups with average <= 0 are absent (inner join).
     The broadcast form ships the averages to every task when their checked
-    row count allows it; otherwise the join plans normally and AQE still
-    broadcasts at run time if the shuffled side turns out small.
+    row count allows it. Otherwise they are materialised first: an aggregate
+    hashed on the join's own key would keep AQE from splitting a hot key.
     """
     averages = (df.groupBy(key).agg(F.avg(score).alias("_avg"))
                 .where(F.col("_avg") > 0))
     if broadcast_averages:
         averages, _ = checked_broadcast(averages, max_broadcast_rows)
+    else:
+        averages = materialize(averages)  # a plain input under the join's shuffle: AQE can split a hot key
     joined = df.select(key, score, author).join(averages, key, "inner")
     return joined.select(
         (F.col(score) / F.col("_avg")).alias("relative_score"),

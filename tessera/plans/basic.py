@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD_SEPARATORS
+from ..functions.text import WORD_SEPARATORS, score_sign
 from ..operators import aggregates as agg
 from ..operators.ordering import sort_with_position
 from ..operators.weather import weather_etl
@@ -40,16 +40,15 @@ def keyed_average(spark, sf_dir):
 ETL_SPLIT_SQL = """
 SELECT subreddit, score, author, CASE WHEN score > 0 THEN 'positive' ELSE 'negative' END AS sign
 FROM (SELECT c_mktsegment AS subreddit, c_acctbal - 4500 AS score, c_name AS author FROM customer)
-WHERE contains(subreddit, 'E')
+WHERE contains(subreddit, 'E') AND score IS NOT NULL
 """
 
 
 @register("etl_split", ETL_SPLIT_SQL)
 def etl_split(spark, sf_dir):
-    """Comments whose subreddit contains 'E', written once into positive/ and negative/."""
+    """Comments whose subreddit contains 'E', written once into positive/ and negative/; a row without a score is in neither."""
     rows = comments(spark, sf_dir).where(F.col("subreddit").contains("E")).select(
-        "subreddit", "score", "author",
-        F.when(F.col("score") > 0, "positive").otherwise("negative").alias("sign"))
+        "subreddit", "score", "author", score_sign(F.col("score")).alias("sign")).where("sign IS NOT NULL")
     path = write_split(rows, scratch_path(spark, "etl_split"), "sign")
     back = read_json(spark, path, "subreddit string, score double, author string, sign string")
     return back.select("subreddit", "score", "author", "sign")

@@ -54,16 +54,13 @@ def rgb_to_lab_q(spark, sf_dir):
 
 @register("rgb_to_hsv", f"""
 WITH {PART_RGB_SQL},
-u AS (SELECT p_partkey, R, G, B, R / 255.0 AS red, G / 255.0 AS green, B / 255.0 AS blue FROM rgb),
-m AS (SELECT *, greatest(red, green, blue) AS value,
-             greatest(red, green, blue) - least(red, green, blue) AS chroma FROM u),
-h AS (SELECT *, CASE WHEN chroma = 0 THEN 0.0
-                     WHEN red > green AND red > blue THEN (green - blue) / chroma
-                     WHEN green > blue THEN 2.0 + (blue - red) / chroma
-                     ELSE 4.0 + (red - green) / chroma END / 6.0 AS hue FROM m)
-SELECT p_partkey, R, G, B, round(CASE WHEN hue < 0 THEN hue + 1.0 ELSE hue END, {P}) AS H,
-       round(CASE WHEN chroma = 0 THEN 0.0 ELSE chroma / value END, {P}) AS S, round(value, {P}) AS V
-FROM h
+ends AS (SELECT *, list_max([R, G, B]) AS hi, list_max([R, G, B]) - list_min([R, G, B]) AS width FROM rgb),
+turns AS (SELECT *, CASE hi WHEN R THEN G - B WHEN G THEN 2 * width + B - R ELSE 4 * width + R - G END AS turn FROM ends)
+SELECT p_partkey, R, G, B,
+       round(CASE WHEN width > 0 THEN CAST((turn + 6 * width) % (6 * width) AS DOUBLE) / (6 * width) ELSE 0 END, {P}) AS H,
+       round(CASE WHEN hi > 0 THEN CAST(width AS DOUBLE) / hi ELSE 0 END, {P}) AS S,
+       round(CAST(hi AS DOUBLE) / 255, {P}) AS V
+FROM turns
 """)
 def rgb_to_hsv_q(spark, sf_dir):
     c = part_colours(spark, sf_dir)
