@@ -12,12 +12,11 @@ def id_remainder(id_col: str, modulus: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, may_learn: Column, max_rows: int,
-                    id_col: str = "doc_id", text_col: str = "text", max_bytes: int | None = None) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, text, _y, _weight): about ``max_rows / 2`` training documents of each class at most.
 
     Ids are drawn by hash, so the sample doesn't depend on the partitioning. A
-    row weighs as many documents of its class as it stands for. Documents above
-    ``max_bytes`` are not drawn. Labels that are null, not 0/1, without a
+    row weighs as many documents of its class as it stands for. Labels that are null, not 0/1, without a
     document, or contradicted by another row of the same id are ignored.
     """
     clean = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
@@ -30,6 +29,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, may_lear
     coin = F.pmod(F.xxhash64("_id", F.lit(42)), F.lit(1 << 30)) / float(1 << 30)
     drawn = pool.where(coin < rate).withColumn("_weight", 1 / rate)  # about max_rows ids: a bounded broadcast
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    if max_bytes is not None:
-        texts = texts.where(F.octet_length("text") <= max_bytes)
     return texts.join(F.broadcast(drawn), "_id")

@@ -3,13 +3,18 @@
 A document is a bag of sentences. A sentence's score is a logistic function of
 the summed weights of its distinct words; a word's weight is the sum of hashed
 weights of the word and of its beginnings, so that inflected forms share
-what is learned; buckets that the document labels show no tie to weigh nothing. The document's score is the noisy-or of its sentences,
-``1 - prod(1 - p)``, and only document labels train it: the gradient of the
-document loss reaches each sentence in proportion to its own probability. The
-sentence scores then locate the offending sentences.
-
-The model is fitted on a bounded sample (``max_rows`` documents of at most
-``max_bytes`` each); scoring is one pass without a shuffle.
+what is learned; buckets that the document labels show no tie to weigh nothing. The document's score is a noisy-or of
+its sentences with one leak ``q``, the probability of a sentence that tells
+nothing: ``1 - (1 - q) * prod((1 - p) / (1 - q))`` over the sentences with
+``p > q``. A sentence without evidence leaves the score as it is, so that a
+text isn't toxic for its length alone. Only document labels train it: the
+gradient of the document loss reaches each sentence in proportion to its own
+probability. The sentence scores then locate the offending sentences.
+
+The model is fitted on a sample of about ``max_rows`` documents of any length.
+Tasks count the buckets' ties to the label and then reduce each document to its
+distinct bags of tell-tale words with their numbers; only these reach the
+driver. Scoring is one pass without a shuffle.
 
 Defined results: null and empty texts have no sentences and score 0; labels of
 null ids are ignored; null, repeated and unlabelled ids are scored like others;
@@ -20,6 +25,7 @@ Labels, language, source and id are no inputs of a score.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stage
 from tessera.llm.sampling import id_remainder, labelled_sample
 from tessera.llm.textcols import codes_of, gather_ragged, owners, ragged, text_slices
 
@@ -64,56 +71,123 @@ class Bags:
 
     def noisy_or(self, word_weight: np.ndarray, bias: float):
         """Sentence probabilities and document scores."""
-        z = np.bincount(self.sentence, word_weight[self.word], len(self.doc)) + bias
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        none = np.bincount(self.doc, np.log1p(-np.minimum(p, 1 - 1e-12)), self.n_docs)
-        return p, -np.expm1(none)
-
-
-def associated(present: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return leaky_or(np.bincount(self.sentence, word_weight[self.word], len(self.doc)), self.doc, self.n_docs, bias)
+
+
+def leaky_or(z: np.ndarray, doc: np.ndarray, n_docs: int, bias: float, times=1):
+    """Probabilities of sentences with evidence ``z``, each standing for ``times`` sentences, and document scores."""
+    p = 1 / (1 + np.exp(-np.clip(z + bias, -40, 40)))
+    leak = -np.log1p(np.exp(np.clip(bias, -40, 40)))  # log(1 - q)
+    more = np.where(z > 0, np.log1p(-np.minimum(p, 1 - 1e-12)) - leak, 0.0)
+    none = np.bincount(doc, more * times, n_docs) + leak * (np.bincount(doc, minlength=n_docs) > 0)
+    return p, -np.expm1(np.minimum(none, 0.0))
+
+
+def _features_of(words, cache: dict[str, list[int]]) -> list[list[int]]:
+    if len(cache) > _CACHE_WORDS:
+        cache.clear()
+    out = []
+    for word in words.to_pylist():
+        got = cache.get(word)
+        if got is None:
+            got = cache[word] = word_features(word) if word else []
+        out.append(got)
+    return out
+
+
+def _bucket_counts(batches):
+    """(_bucket, _docs, _toxic) of a task's documents; bucket -1 counts all of them."""
+    docs, toxic, cache = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64), {}
+    for part, texts in text_slices(batches):
+        y = part.column("_y").to_numpy(zero_copy_only=False).astype(np.int64)
+        bags = Bags(texts)
+        features = _features_of(bags.words, cache)
+        length = np.array([len(f) for f in features], np.int64)
+        flat = np.fromiter((b for f in features for b in f), np.int64, length.sum())
+        starts = np.cumsum(length) - length
+        # documents and words, then documents and buckets
+        pairs = np.unique((bags.doc[bags.sentence] << 32) | bags.word)
+        doc, word = pairs >> 32, pairs & 0xFFFFFFFF
+        pairs = np.unique((np.repeat(doc, length[word]) << 32) | gather_ragged(flat, starts[word], length[word]))
+        doc, bucket = pairs >> 32, pairs & 0xFFFFFFFF
+        docs += np.bincount(np.append(bucket, np.full(len(y), BUCKETS)), minlength=BUCKETS + 1)
+        toxic += np.bincount(np.append(bucket[y[doc] == 1], np.full(int(y.sum()), BUCKETS)), minlength=BUCKETS + 1)
+    seen = np.flatnonzero(docs)
+    yield pa.RecordBatch.from_arrays([pa.array(np.where(seen == BUCKETS, -1, seen)), pa.array(docs[seen]), pa.array(toxic[seen])],
+                                     names=["_bucket", "_docs", "_toxic"])
+
+
+def associated(with_it: np.ndarray, toxic: np.ndarray, n: float, t: float) -> np.ndarray:
     """Buckets tied to the label: chi-squared of document presence above 2 ln(buckets seen),
-    where about one bucket would come through by chance. Takes (document, bucket) pairs."""
-    with_it = np.bincount(bucket, minlength=BUCKETS).astype(float)
-    toxic = np.bincount(bucket, y[present], BUCKETS)
-    n, t = float(len(y)), float(y.sum())
+    where about one bucket would come through by chance. Takes the documents and the toxic
+    documents of each bucket and of the whole sample."""
+    with_it, toxic = with_it.astype(float), toxic.astype(float)
     spread = with_it * (n - with_it) * t * (n - t)
     chi = n * (toxic * n - with_it * t) ** 2 / np.maximum(spread, 1.0)
     return chi > 2 * np.log(max(2, np.count_nonzero(with_it)))
 
 
-def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, steps: int = 300, rate: float = 0.1,
+def told_bags(texts, use: np.ndarray, cache: dict[str, list[int]]) -> list[Counter]:
+    """For each text its distinct bags of tell-tale words (sorted tuples) and how many sentences have each."""
+    bags = Bags(texts)
+    told = np.array([bool(f) and bool(use[f].any()) for f in _features_of(bags.words, cache)], bool)
+    tell = told[bags.word]
+    sentence, word = bags.sentence[tell], bags.word[tell]
+    out = [Counter() for _ in range(bags.n_docs)]
+    cuts = np.flatnonzero(np.diff(sentence)) + 1
+    for at, bag in zip(sentence[np.append(0, cuts)] if len(sentence) else [], np.split(word, cuts)):
+        out[bags.doc[at]][tuple(sorted(bags.words[int(w)].as_py() for w in bag))] += 1
+    for doc, n in enumerate(np.bincount(bags.doc, minlength=bags.n_docs).tolist()):
+        blank = n - out[doc].total()
+        if blank:
+            out[doc][()] = blank
+    return out
+
+
+def _told(use: np.ndarray):
+    def run(batches):
+        cache: dict[str, list[int]] = {}
+        for part, texts in text_slices(batches):
+            got = [sorted(c.items()) for c in told_bags(texts, use, cache)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(c) for c in ("_id", "_hash", "_y", "_weight")]
+                + [pa.array([[b for b, _ in c] for c in got], pa.list_(pa.list_(pa.string()))),
+                   pa.array([[n for _, n in c] for c in got], pa.list_(pa.int64()))],
+                names=["_id", "_hash", "_y", "_weight", "_bags", "_times"])
+    return run
+
+
+def fit(bags: list, times: list, y: np.ndarray, weight: np.ndarray, use: np.ndarray, steps: int = 300, rate: float = 0.1,
         decay: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Weights of the buckets and the bias, by Adam on the weighted document log-loss."""
+    """Weights of the buckets and the bias, by Adam on the weighted document log-loss.
+
+    ``bags`` and ``times`` are, for each document, its distinct bags of tell-tale words and their numbers.
+    """
     w, bias = np.zeros(BUCKETS), -3.0
-    if len(texts) == 0 or len(set(y.tolist())) < 2:
+    if len(y) == 0 or len(set(y.tolist())) < 2:
         return w, bias
     y, weight = y.astype(float), weight / weight.sum()
-    bags = Bags(pa.array(texts, pa.large_string()))
-    features = [word_features(x) if x else [] for x in bags.words.to_pylist()]
-    length = np.array([len(f) for f in features])
-    flat = np.fromiter((b for f in features for b in f), np.int64, length.sum())
-    starts = np.concatenate([[0], np.cumsum(length)])[:-1]
-    # documents and words, then documents and buckets
-    pairs = np.unique((bags.doc[bags.sentence] << 32) | bags.word)
-    doc, word = pairs >> 32, pairs & 0xFFFFFFFF
-    pairs = np.unique((np.repeat(doc, length[word]) << 32) | gather_ragged(flat, starts[word], length[word]))
-    use = associated(pairs >> 32, pairs & 0xFFFFFFFF, y)
-    kept = use[flat]
-    owner = np.repeat(np.arange(len(length)), length)[kept]
-    bucket, flat = np.unique(flat[kept], return_inverse=True)
-    told = np.zeros(len(length), bool)
-    told[owner] = True
-    tell = told[bags.word]  # other words weigh nothing
-    bags.word, bags.sentence = bags.word[tell], bags.sentence[tell]
+    doc = np.repeat(np.arange(len(y)), [len(b) for b in bags])
+    times = np.array([n for t in times for n in t], float)
+    length = np.array([len(b) for d in bags for b in d], np.int64)
+    code, words = codes_of(pa.array([x for d in bags for b in d for x in b], pa.string()))
+    sentence = np.repeat(np.arange(len(length)), length)
+    features = [[b for b in word_features(x) if use[b]] for x in words.to_pylist()]
+    owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
+    bucket, flat = np.unique(np.array([b for f in features for b in f], np.int64), return_inverse=True)
     small = np.zeros(len(bucket))
     m1, v1, m2, v2 = np.zeros(len(bucket)), np.zeros(len(bucket)), 0.0, 0.0
     for t in range(1, steps + 1):
-        p, score = bags.noisy_or(np.bincount(owner, small[flat], len(length)), bias)
-        # d loss / d z of a sentence: p for a clean document, -(1 - P) / P * p for a toxic one
+        weights = np.bincount(owner, small[flat], len(features))
+        z = np.bincount(sentence, weights[code], len(doc))
+        p, score = leaky_or(z, doc, len(y), bias, times)
+        q = 1 / (1 + np.exp(-bias))
+        # d loss / d z of a sentence: p for a clean document, -(1 - P) / P * p for a toxic one; none without evidence
         pull = np.where(y == 1, -(1 - score) / np.maximum(score, 1e-9), 1.0) * weight
-        dz = p * pull[bags.doc]
-        dword = np.bincount(bags.word, dz[bags.sentence], len(length))
-        dw, db = np.bincount(flat, dword[owner], len(bucket)) + decay * small, dz.sum()
+        dz = np.where(z >= 0, p * pull[doc] * times, 0.0)
+        db = q * pull[doc[np.append(True, doc[1:] != doc[:-1])]].sum() + (np.where(z > 0, p - q, 0.0) * pull[doc] * times).sum()
+        dword = np.bincount(code, dz[sentence], len(features))
+        dw = np.bincount(flat, dword[owner], len(bucket)) + decay * small
         m1, v1 = 0.9 * m1 + 0.1 * dw, 0.99 * v1 + 0.01 * dw * dw
         m2, v2 = 0.9 * m2 + 0.1 * db, 0.99 * v2 + 0.01 * db * db
         pace = rate * np.sqrt(1 - 0.99 ** t) / (1 - 0.9 ** t)
@@ -123,6 +197,21 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, steps: int = 300, r
     return w, bias
 
 
+def learn(sample: DataFrame) -> tuple[np.ndarray, float]:
+    """Weights and bias from (_id, text, _y, _weight)."""
+    kind = sample.schema["_id"].dataType.simpleString()
+    sample = stage(sample.select("_id", F.xxhash64("text").alias("_hash"), F.col("_y").cast("int").alias("_y"), "_weight", "text"),
+                   "toxicity-sample")
+    counts = (sample.select("_y", "text").mapInArrow(_bucket_counts, "_bucket long, _docs long, _toxic long")
+              .groupBy("_bucket").agg(F.sum("_docs").alias("_docs"), F.sum("_toxic").alias("_toxic")).toPandas())
+    with_it, toxic = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)  # the last place holds bucket -1
+    with_it[counts["_bucket"].to_numpy(int)], toxic[counts["_bucket"].to_numpy(int)] = counts["_docs"], counts["_toxic"]
+    use = associated(with_it[:-1], toxic[:-1], with_it[-1], toxic[-1])
+    got = sample.mapInArrow(_told(use), f"_id {kind}, _hash long, _y int, _weight double, _bags array<array<string>>, "
+                                        "_times array<long>").toArrow().sort_by([("_id", "ascending"), ("_hash", "ascending")])
+    return fit(got["_bags"].to_pylist(), got["_times"].to_pylist(), got["_y"].to_numpy(), got["_weight"].to_numpy().astype(float), use)
+
+
 def _scorer(w: np.ndarray, bias: float, locate: float):
     def run(batches):
         cache: dict[str, float] = {}
@@ -152,12 +241,9 @@ def _scorer(w: np.ndarray, bias: float, locate: float):
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", folds: int = 5, held_fold: int = 0, max_rows: int = 6000,
-             max_bytes: int = 16384, locate: float = 0.5) -> DataFrame:
+             locate: float = 0.5) -> DataFrame:
     """Per document: id, ``held_out``, ``score``, ``predicted`` and ``offending`` sentences (byte offsets, score)."""
-    sample = labelled_sample(docs, labels, label_col, id_remainder("_id", folds) != held_fold, max_rows,
-                             id_col, text_col, max_bytes).select("_id", "text", "_y", "_weight").toPandas()
-    sample = sample.sort_values(["_id", "text"]).reset_index(drop=True)
-    w, bias = fit(sample["text"].tolist(), sample["_y"].to_numpy(), sample["_weight"].to_numpy(float))
+    w, bias = learn(labelled_sample(docs, labels, label_col, id_remainder("_id", folds) != held_fold, max_rows, id_col, text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _scorer(w.astype(np.float32), bias, locate),

@@ -296,6 +296,26 @@ def test_classifiers_hold_out(spark):
         assert (both["predicted"] == both[label]).mean() >= least
 
 
+def test_toxicity_of_long_texts(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rng = random.Random(8)
+    sentences = ["The river was wide and the boats came in with the tide", "She went on to read about trees",
+                 "In 1901 the town had 40 houses", "It is on the map that they made"]
+    clean = [" ".join(rng.choice(sentences) + "." for _ in range(n)) for n in (2000, 20000, 100000)]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(clean)], "doc_id long, text string")
+    got = toxicity(docs.unionAll(more), table(spark, sf, "labels")).where("doc_id < 0").collect()
+    assert len(got) == 3 and all(r.predicted == 0 and not r.offending for r in got)
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    plain = "A plain line that says nothing of note. " * 600  # 24 KB
+    rows = [(i, plain + ("You scoundrel. " if i % 2 else "")) for i in range(200)]
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"),
+                   spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+
+
 def test_offending_sentences(spark):
     sf = "/root/testdata/sf0.1"
     docs = table(spark, sf, "documents")
