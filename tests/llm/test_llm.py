@@ -259,6 +259,17 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100}
 
 
+@pytest.mark.parametrize("order", ["descending", "random"])
+def test_components_of_long_chains(spark, order):
+    chain = list(range(2000))
+    if order == "random":
+        random.Random(6).shuffle(chain)
+    else:
+        chain = [0, *range(1999, 0, -1)]
+    links = spark.createDataFrame([*zip(chain, chain[1:]), (5000, 5001)], "_a long, _b long")
+    assert {r[0]: r[1] for r in components(links).collect()} == {**dict.fromkeys(range(2000), 0), 5000: 5000, 5001: 5000}
+
+
 def test_nearest(spark):
     rng = np.random.RandomState(3)
     x = rng.randn(400, 16).astype(np.float32)
