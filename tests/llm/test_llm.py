@@ -188,6 +188,22 @@ def test_sharding_keeps_groups_together(spark):
     assert sizes == {800}
 
 
+@pytest.mark.parametrize("groups", [[2000], [250, 2000, 7500], [1000, 1500, 3000] * 3, [2600, 2600, 2600]])
+def test_sharding_keeps_large_groups_together(spark, groups):
+    n, size = 100000, 2500  # 40 shards
+    texts = F.concat(F.lit("single "), F.col("id").cast("string"))
+    at = 0
+    for i, g in enumerate(groups):
+        texts = F.when((F.col("id") >= at) & (F.col("id") < at + g), F.lit(f"group {i}")).otherwise(texts)
+        at += g
+    got = balanced_shards(spark.range(n).select(F.col("id").alias("doc_id"), texts.alias("text")), n_shards=40)
+    assert {r["count"] for r in got.groupBy("shard").count().collect()} == {size}
+    crc = {zlib.crc32(f"group {i}".encode()): g for i, g in enumerate(groups)}
+    held = got.where(F.col("text_crc32").isin(list(crc))).groupBy("text_crc32").agg(
+        F.count("*").alias("n"), F.count_distinct("shard").alias("s")).collect()
+    assert sorted((r.n, r.s) for r in held) == sorted((g, -(-g // size)) for g in groups)
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:
