@@ -1,4 +1,4 @@
-"""Queries ``op1_`` to ``op10_`` over the driver tables: each applies one operator with
+"""Queries ``op1_`` to ``op13_`` over the driver tables: each applies one operator with
 production parameters to its whole table and derives the digest columns from its output."""
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm.ann import nearest
 from tessera.llm.common import documents
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.hard_negatives import hard_negatives
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.minhash_dedup import near_duplicates
 from tessera.llm.mixing import mix_sources
@@ -89,6 +90,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each row whose id is divisible by 100 and its 5 best rows of the same label: the 10 best rows of other
+    labels with 30 to 90 percent of that score. Where an id is divisible by 7 the label is moved on by one."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -100,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
 }
