@@ -94,10 +94,37 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 QUALIFY rank <= 10
 """
 
+OP12 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
+-]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS words FROM p),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT lang, unnest([words[i:i + k - 1] FOR k IN range(1, 6) IF i + k - 1 <= len(words)]) AS phrase FROM s),
+f AS (SELECT lang, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(phrase) = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE f >= 100 AND len(phrase) >= 2),
+b AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    FROM c q WHERE q.lang = c.lang AND len(q.phrase) > len(c.phrase) AND 100 * q.f >= 100 * c.f
+    AND contains(' ' || array_to_string(q.phrase, ' ') || ' ', ' ' || array_to_string(c.phrase, ' ') || ' '))),
+k AS (SELECT lang, phrase, f AS a, unnest(range(1, len(phrase))) AS cut FROM b),
+m AS (
+  SELECT k.lang, k.phrase, k.a, cut, l.f AS l, r.f AS r, t.n,
+         CAST((CAST(1000 AS HUGEINT) * k.a * t.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN t ON t.lang = k.lang JOIN f l ON l.lang = k.lang AND l.phrase = k.phrase[1:cut]
+  JOIN f r ON r.lang = k.lang AND r.phrase = k.phrase[cut + 1:]
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, cut) = 1),
+o AS (SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM m)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM o QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op5_mixing": OP5.strip(),
     "op6_ann": OP6.strip(),
     "op7_line_dedup": OP7.strip(),
     "op9_exact_dedup": OP9.strip(),
     "op11_hard_negatives": OP11.strip(),
+    "op12_collocations": OP12.strip(),
 }

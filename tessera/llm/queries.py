@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.ann import nearest
+from tessera.llm.collocations import collocations
 from tessera.llm.common import documents
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.hard_negatives import hard_negatives
@@ -98,6 +99,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases of 2 to 5 words among those that occur 100 times or more."""
+    return collocations(documents(spark, sf_dir), max_words=5, min_count=100, per_lang=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -110,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
 }
