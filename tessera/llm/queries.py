@@ -16,6 +16,7 @@ from tessera.llm.hard_negatives import hard_negatives
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.minhash_dedup import near_duplicates
 from tessera.llm.mixing import mix_sources
+from tessera.llm.page_text import page_texts
 from tessera.llm.piece_codec import encode_documents
 from tessera.llm.quality import quality
 from tessera.llm.sharding import balanced_shards
@@ -104,6 +105,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir), max_words=5, min_count=100, per_lang=2000)
 
 
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, its blocks joined by an empty line."""
+    out = page_texts(table(spark, sf_dir, "pages")).withColumn("text", F.array_join("blocks", "\n\n"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -117,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
+    "op13_page_text": op13_page_text,
 }
