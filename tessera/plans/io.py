@@ -13,11 +13,11 @@ from ..functions.paths import path_to_hour
 from ..functions.text import WORD_SEPARATORS, format_pair
 from ..operators import aggregates as agg
 from ..operators.extremes import keep_max_semi
-from ..operators.upsert import upsert_by_key
 from ..operators.weather import weather_etl
 from ..session import scratch_path, table
 from ..sources.files import (range_source, read_csv, read_delimited_with_file, read_json,
                              read_table, read_text)
+from ..sources.keyed_table import KeyedTable
 from ..sources.sinks import (json_array_line, write_csv, write_json, write_n_files,
                              write_single_file, write_table, write_text)
 from .basic import POINT_KEYS
@@ -300,14 +300,36 @@ FROM orders
 def upsert_by_key_q(spark, sf_dir):
     """Open orders are re-sent closed with a new price (version 2); the keyed
     table then holds one row per order with the newest version."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    base_path = scratch_path(spark, "orders_v1")
-    o.withColumn("version", F.lit(1)).write.mode("overwrite").parquet(base_path)
-    base = spark.read.parquet(base_path)
-    changes = base.where(F.col("o_orderstatus") == "O").select(
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("version"))
+    path = scratch_path(spark, "orders")
+    orders = KeyedTable.create(spark, os.path.basename(path).replace("-", "_"),
+                               "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, version INT",
+                               ["o_orderkey"], location=path)
+    orders.upsert(o, version="version")
+    changes = orders.rows().where(F.col("o_orderstatus") == "O").select(
         "o_orderkey", F.lit("F").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"),
         F.lit(2).alias("version"))
-    merged_path = scratch_path(spark, "orders_v2")
-    upsert_by_key(base, changes, ["o_orderkey"], "version").write.mode("overwrite").parquet(merged_path)
-    return spark.read.parquet(merged_path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders.upsert(changes, version="version")
+    orders.vacuum()
+    return orders.rows().select("o_orderkey", "o_orderstatus", "o_totalprice")
 
+
+@register("keyed_log_table", f"""
+WITH {LOGS_SQL}
+SELECT host, path, strftime(max(datetime), '%Y-%m-%d %H:%M:%S') AS datetime,
+       max(bytes) FILTER (datetime = last) AS bytes
+FROM (SELECT *, max(datetime) OVER (PARTITION BY host, path) AS last FROM logs)
+GROUP BY host, path
+""")
+def keyed_log_table(spark, sf_dir):
+    """A log table with the compound key (host, path), loaded in two batches, the first of them sent again
+    at the end: one row a key, the newest request (of equal times the one with most bytes)."""
+    logs = staged_logs(spark, sf_dir).select("host", "path", "datetime", "bytes")
+    path = scratch_path(spark, "hits")
+    hits = KeyedTable.create(spark, os.path.basename(path).replace("-", "_"),
+                             "host STRING, path STRING, datetime TIMESTAMP_NTZ, bytes BIGINT", ["host", "path"], location=path)
+    early = F.dayofmonth("datetime") <= 15
+    for batch in (logs.where(early), logs.where(~early), logs.where(early)):
+        hits.upsert(batch, version="datetime")
+    hits.vacuum()
+    return hits.rows().select("host", "path", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "bytes")

@@ -114,6 +114,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's making, in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
