@@ -40,9 +40,12 @@ def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,
     Stops after ``max_depth`` expansions, when a level is empty, or when
     the level holding ``end`` is found. ``source`` of the start is NULL.
     """
-    spark: SparkSession = edges.sparkSession
-    key_type = edges.schema[node].dataType
-    e = _prepared_edges(edges, node, neighbour)
+    return _levels(_prepared_edges(edges, node, neighbour), edges.schema[node].dataType, start, max_depth, end)
+
+
+def _levels(e: DataFrame, key_type: T.DataType, start, max_depth: int, end=None) -> list[DataFrame]:
+    """``bfs_levels`` over prepared edges."""
+    spark: SparkSession = e.sparkSession
     schema = T.StructType([T.StructField("node", key_type), T.StructField("source", key_type),
                            T.StructField("distance", T.IntegerType())])
     level0 = spark.createDataFrame([(start, None, 0)], schema)
@@ -59,13 +62,13 @@ def bfs_levels(edges: DataFrame, start, max_depth: int = 6, end=None,
         if fits_broadcast(*frontier_size):
             src = F.broadcast(src)
         visited = reduce(DataFrame.unionByName, [lv.select("node") for lv in levels])
-        if fits_broadcast(visited_rows, visited_bytes):
-            visited = F.broadcast(visited)
         step = src.join(e, "_src").select(F.col("_dst").alias("node"), F.col("_src").alias("source"))
-        fresh = step.join(visited, "node", "left_anti")
-        new = fresh.groupBy("node").agg(F.min("source").alias("source")) \
-                   .withColumn("distance", F.lit(d))
-        new = materialize(new)
+        smallest = F.min("source").alias("source")
+        if fits_broadcast(visited_rows, visited_bytes):   # visited nodes go before the shuffle
+            new = step.join(F.broadcast(visited), "node", "left_anti").groupBy("node").agg(smallest)
+        else:   # one row a node is left before the join, which meets the aggregate's own partitioning
+            new = step.groupBy("node").agg(smallest).join(visited, "node", "left_anti")
+        new = materialize(new.withColumn("distance", F.lit(d)))
         frontier_size = measure(new)
         if frontier_size[0] == 0:
             break
@@ -114,30 +117,21 @@ def shortest_path(edges: DataFrame, start, end, max_depth: int = 6, **kw) -> Dat
 
 def walk_levels(edges: DataFrame, start, max_depth: int = 6,
                 node: str = "node", neighbour: str = "neighbour") -> DataFrame:
-    """The union-then-distinct formulation: level d holds every (node, source) pair
-    reached by a walk of length d (revisits included, duplicates removed); the
-    union of all levels keeps, per node, the pairs at its minimum distance —
-    i.e. every parent at the previous distance, not just one.
+    """The union-then-distinct formulation's result: per node within ``max_depth``, every parent at the
+    previous distance, not just one (rows ``node, source, distance``; the start has a NULL source).
+
+    A walk of length d that reaches a node at distance d only visits nodes at
+    the distances 0..d-1 in turn, so revisits never add a row. The distances
+    come from a breadth-first search, which expands each node once; one join
+    of the edges with the distances of both ends then finds all parents.
     """
-    spark: SparkSession = edges.sparkSession
-    key_type = edges.schema[node].dataType
     e = _prepared_edges(edges, node, neighbour)
-    schema = T.StructType([T.StructField("node", key_type), T.StructField("source", key_type),
-                           T.StructField("distance", T.IntegerType())])
-    level = spark.createDataFrame([(start, None, 0)], schema)
-    levels = [level]
-    size = (1, 0)
-    for d in range(1, max_depth + 1):
-        src = level.select(F.col("node").alias("_src")).distinct()
-        if fits_broadcast(*size):          # measured level: broadcast, edges stay in place
-            src = F.broadcast(src)
-        step = (src.join(e, "_src")
-                .select(F.col("_dst").alias("node"), F.col("_src").alias("source"), F.lit(d).alias("distance")))
-        level = materialize(step.distinct())
-        size = measure(level)
-        if size[0] == 0:
-            break
-        levels.append(level)
-    union = reduce(DataFrame.unionByName, levels).distinct()
-    best = union.groupBy("node").agg(F.min("distance").alias("distance"))
-    return union.join(best, ["node", "distance"], "left_semi").select("node", "source", "distance")
+    levels = _levels(e, edges.schema[node].dataType, start, max_depth)
+    # written once: a plain side of both joins, which AQE can split at a hot node
+    distance = materialize(reduce(DataFrame.unionByName, levels).select("node", "distance"))
+    if fits_broadcast(*measure(distance)):
+        distance = F.broadcast(distance)
+    source = distance.select(F.col("node").alias("_src"), F.col("distance").alias("_before"))
+    target = distance.select(F.col("node").alias("_dst"), "distance")
+    parents = e.join(source, "_src").join(target, "_dst").where(F.col("distance") == F.col("_before") + 1)
+    return levels[0].unionByName(parents.select(F.col("_dst").alias("node"), F.col("_src").alias("source"), "distance"))

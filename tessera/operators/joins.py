@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -13,11 +16,21 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value in an in-memory row: 16 for a fixed-size type (a decimal's are the most), a string's own
+    on top of that; nested values count with their JSON text."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType, T.VariantType)):
+        return F.octet_length(F.to_json(F.struct(c))) + 16
+    return F.lit(16)
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a DataFrame in one job; bytes = JSON length of each row,
-    an over-estimate of its in-memory width."""
-    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    r = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    """(rows, bytes) of a DataFrame in one job; the bytes over-estimate its in-memory width."""
+    width = reduce(Column.__add__, [_width(f) for f in df.schema])
+    r = df.agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
     return int(r[0]), int(r[1] or 0)
 
 
