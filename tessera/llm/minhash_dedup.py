@@ -15,8 +15,9 @@ Buckets are never expanded into all their pairs:
 2. Rest: in buckets that still hold several components, members of different
    components are compared by signature inside a task, in numpy, in blocks of
    bounded size; a pair leaves the task once (in its first common bucket), and
-   only if set sizes, 256 slots (4 standard deviations below the threshold) and
-   a bitmap of the shingles (a strict bound) allow the similarity.
+   only if set sizes, 256 slots (6 standard deviations below the threshold: of
+   the links at the threshold less than 1 in 10 million fails this test) and a
+   bitmap of the shingles (a strict bound) allow the similarity.
 
 Links are confirmed on the full shingle sets (rows of a pivot are spread over
 blocks of partners), components come from Spark joins.
@@ -130,7 +131,7 @@ def _index_keys(batches):
 def _similar_pairs(percent: int):
     """Pairs of one bucket (block) from different components that may be similar enough."""
     share = percent / 100
-    least = ALL_SLOTS * share - 4 * (ALL_SLOTS * share * (1 - share)) ** 0.5
+    least = ALL_SLOTS * share - 6 * (ALL_SLOTS * share * (1 - share)) ** 0.5
 
     def pairs(key, block_a, block_b, rows):
         rep, comp, size, block, sig = rows
@@ -310,5 +311,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``docs`` with one document of each group (the smallest id), same columns."""
-    gone = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    gone_id = "_gone"
+    while gone_id in docs.columns:
+        gone_id += "_"
+    gone = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias(gone_id)).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(gone_id), "left_anti")

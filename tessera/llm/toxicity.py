@@ -6,8 +6,10 @@ weights of the word and of its beginnings, so that inflected forms share
 what is learned; buckets that the document labels show no tie to weigh nothing. The document's score is a noisy-or of
 its sentences with one leak ``q``, the probability of a sentence that tells
 nothing: ``1 - (1 - q) * prod((1 - p) / (1 - q))`` over the sentences with
-``p > q``. A sentence without evidence leaves the score as it is, so that a
-text isn't toxic for its length alone. Only document labels train it: the
+``p > q``. Only sentences of a probability of ``margin`` or more count in a
+score: the traces of evidence that innocent words leave would otherwise add up
+over thousands of clean sentences, and a text be toxic for its length. Only
+document labels train it (there every sentence with ``p > q`` counts): the
 gradient of the document loss reaches each sentence in proportion to its own
 probability. The sentence scores then locate the offending sentences.
 
@@ -69,16 +71,16 @@ class Bags:
         self.n_docs, self.doc = len(texts), doc[kept]
         self.begin, self.end = begin[kept], (begin + size)[kept]
 
-    def noisy_or(self, word_weight: np.ndarray, bias: float):
+    def noisy_or(self, word_weight: np.ndarray, bias: float, margin: float):
         """Sentence probabilities and document scores."""
-        return leaky_or(np.bincount(self.sentence, word_weight[self.word], len(self.doc)), self.doc, self.n_docs, bias)
+        return leaky_or(np.bincount(self.sentence, word_weight[self.word], len(self.doc)), self.doc, self.n_docs, bias, margin=margin)
 
 
-def leaky_or(z: np.ndarray, doc: np.ndarray, n_docs: int, bias: float, times=1):
+def leaky_or(z: np.ndarray, doc: np.ndarray, n_docs: int, bias: float, times=1, margin: float = 0.0):
     """Probabilities of sentences with evidence ``z``, each standing for ``times`` sentences, and document scores."""
     p = 1 / (1 + np.exp(-np.clip(z + bias, -40, 40)))
     leak = -np.log1p(np.exp(np.clip(bias, -40, 40)))  # log(1 - q)
-    more = np.where(z > 0, np.log1p(-np.minimum(p, 1 - 1e-12)) - leak, 0.0)
+    more = np.where((z > 0) & (p >= margin), np.log1p(-np.minimum(p, 1 - 1e-12)) - leak, 0.0)
     none = np.bincount(doc, more * times, n_docs) + leak * (np.bincount(doc, minlength=n_docs) > 0)
     return p, -np.expm1(np.minimum(none, 0.0))
 
@@ -157,6 +159,20 @@ def _told(use: np.ndarray):
     return run
 
 
+def gradient(z: np.ndarray, doc: np.ndarray, times: np.ndarray, y: np.ndarray, weight: np.ndarray, bias: float):
+    """Of the weighted document log-loss: by the evidence of each (repeated) sentence and by the bias.
+
+    A sentence is pulled down by p in a clean document and up by p (1 - P) / P
+    in a toxic one; one without evidence only moves the leak.
+    """
+    p, score = leaky_or(z, doc, len(y), bias, times)
+    q = 1 / (1 + np.exp(-bias))
+    pull = np.where(y == 1, -(1 - score) / np.maximum(score, 1e-9), 1.0) * weight
+    dz = np.where(z >= 0, p * pull[doc] * times, 0.0)
+    db = q * pull[np.unique(doc)].sum() + (np.where(z > 0, p - q, 0.0) * pull[doc] * times).sum()
+    return dz, db
+
+
 def fit(bags: list, times: list, y: np.ndarray, weight: np.ndarray, use: np.ndarray, steps: int = 300, rate: float = 0.1,
         decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights of the buckets and the bias, by Adam on the weighted document log-loss.
@@ -180,12 +196,7 @@ def fit(bags: list, times: list, y: np.ndarray, weight: np.ndarray, use: np.ndar
     for t in range(1, steps + 1):
         weights = np.bincount(owner, small[flat], len(features))
         z = np.bincount(sentence, weights[code], len(doc))
-        p, score = leaky_or(z, doc, len(y), bias, times)
-        q = 1 / (1 + np.exp(-bias))
-        # d loss / d z of a sentence: p for a clean document, -(1 - P) / P * p for a toxic one; none without evidence
-        pull = np.where(y == 1, -(1 - score) / np.maximum(score, 1e-9), 1.0) * weight
-        dz = np.where(z >= 0, p * pull[doc] * times, 0.0)
-        db = q * pull[doc[np.append(True, doc[1:] != doc[:-1])]].sum() + (np.where(z > 0, p - q, 0.0) * pull[doc] * times).sum()
+        dz, db = gradient(z, doc, times, y, weight, bias)
         dword = np.bincount(code, dz[sentence], len(features))
         dw = np.bincount(flat, dword[owner], len(bucket)) + decay * small
         m1, v1 = 0.9 * m1 + 0.1 * dw, 0.99 * v1 + 0.01 * dw * dw
@@ -212,7 +223,7 @@ def learn(sample: DataFrame) -> tuple[np.ndarray, float]:
     return fit(got["_bags"].to_pylist(), got["_times"].to_pylist(), got["_y"].to_numpy(), got["_weight"].to_numpy().astype(float), use)
 
 
-def _scorer(w: np.ndarray, bias: float, locate: float):
+def _scorer(w: np.ndarray, bias: float, locate: float, margin: float):
     def run(batches):
         cache: dict[str, float] = {}
         for part, texts in text_slices(batches):
@@ -226,7 +237,7 @@ def _scorer(w: np.ndarray, bias: float, locate: float):
                     if got is None:
                         got = cache[word] = float(w[word_features(word)].sum())
                     weights[i] = got
-            p, score = bags.noisy_or(weights, bias)
+            p, score = bags.noisy_or(weights, bias, margin)
             bad = np.flatnonzero(p >= locate)
             spans = pa.StructArray.from_arrays(
                 [pa.array(bags.begin[bad], pa.int32()), pa.array(bags.end[bad], pa.int32()), pa.array(p[bad], pa.float64())],
@@ -241,12 +252,12 @@ def _scorer(w: np.ndarray, bias: float, locate: float):
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", folds: int = 5, held_fold: int = 0, max_rows: int = 6000,
-             locate: float = 0.5) -> DataFrame:
+             locate: float = 0.5, margin: float = 0.1) -> DataFrame:
     """Per document: id, ``held_out``, ``score``, ``predicted`` and ``offending`` sentences (byte offsets, score)."""
     w, bias = learn(labelled_sample(docs, labels, label_col, id_remainder("_id", folds) != held_fold, max_rows, id_col, text_col))
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _scorer(w.astype(np.float32), bias, locate),
+        _scorer(w.astype(np.float32), bias, locate, margin),
         f"id {kind}, score double, offending array<struct<begin:int,end:int,score:double>>")
     return out.select(
         F.col("id").alias(id_col), F.coalesce(id_remainder("id", folds) == held_fold, F.lit(False)).alias("held_out"),

@@ -25,6 +25,7 @@ from tessera.llm.quality import FEATURES, good_documents, grow, quality, statist
 from tessera.llm.sharding import balanced_shards
 from tessera.llm.spm import CHUNK, Model, Normalizer
 from tessera.llm.token_counts import Transducer, block_map, compose, count_tokens, total_of
+from tessera.llm import toxicity as toxicity_module
 from tessera.llm.toxicity import toxicity
 from tessera.session import table
 
@@ -335,6 +336,60 @@ def test_toxicity_of_long_texts(spark):
     assert len(got) == 3 and all(r.predicted == 0 and not r.offending for r in got)
 
 
+def test_toxicity_of_joined_clean_documents(spark):
+    """Real clean documents, joined by the hundreds and thousands, stay clean; one toxic sentence among them is found."""
+    from tessera.llm.sampling import id_remainder, labelled_sample
+
+    sf, rng = "/root/testdata/sf0.1", random.Random(3)
+    docs, marks = table(spark, sf, "documents"), table(spark, sf, "labels")
+    w, bias = toxicity_module.learn(labelled_sample(docs, marks, "toxic", id_remainder("_id", 5) != 0, 6000))
+    clean = [r.text for r in docs.join(marks.where("toxic = 0"), "doc_id").where("text IS NOT NULL").select("text").collect()]
+
+    def score(texts):
+        bags = toxicity_module.Bags(pa.array(texts, pa.large_string()))
+        weights = np.array([w[toxicity_module.word_features(x)].sum() if x else 0.0 for x in bags.words.to_pylist()])
+        return bags, *bags.noisy_or(weights, bias, 0.1)
+
+    clean = [t for t, s in zip(clean, score(clean)[2]) if s < 0.05]
+    assert len(clean) > 2000
+    joined = ["\n".join(rng.choice(clean) for _ in range(n)) for n in (10, 300, 1000, 1000, 10000)]
+    assert score(joined)[2].max() < 0.1
+    planted = "You stupid pathetic idiot."
+    assert score([planted])[2][0] >= 0.5
+    for text in joined:
+        bags, p, s = score([text + "\n" + planted])
+        assert s[0] >= 0.5 and np.flatnonzero(p >= 0.5).tolist() == [len(p) - 1]
+
+
+def test_noisy_or_by_hand_and_its_gradient():
+    rng = np.random.RandomState(0)
+    doc = np.array([0, 0, 0, 1, 1, 3, 3, 3])
+    z, times, bias = rng.randn(8) * 2, np.array([1.0, 3, 2, 1, 4, 1, 1, 2]), -2.0
+    y, weight = np.array([1.0, 0, 1, 0]), np.array([0.3, 0.2, 0.1, 0.4])
+    q = 1 / (1 + math.exp(-bias))
+    for margin in (0.0, 0.3):
+        p, score = toxicity_module.leaky_or(z, doc, 4, bias, times, margin)
+        for d in range(4):
+            clean = 1 - q if d in doc else 1.0
+            for i in np.flatnonzero(doc == d):
+                assert math.isclose(p[i], 1 / (1 + math.exp(-z[i] - bias)))
+                if z[i] > 0 and p[i] >= margin:
+                    clean *= ((1 - p[i]) / (1 - q)) ** times[i]
+            assert math.isclose(score[d], 1 - clean, abs_tol=1e-12)
+
+    def loss(z, bias):
+        s = np.clip(toxicity_module.leaky_or(z, doc, 4, bias, times)[1], 1e-300, 1 - 1e-16)
+        held = np.isin(np.arange(4), doc)
+        return -(weight * np.where(y == 1, np.log(s), np.log1p(-s)))[held].sum()
+
+    dz, db = toxicity_module.gradient(z, doc, times, y, weight, bias)
+    e = 1e-6
+    assert math.isclose(db, (loss(z, bias + e) - loss(z, bias - e)) / (2 * e), rel_tol=1e-4)
+    for i in range(8):
+        step = np.eye(8)[i] * e
+        assert math.isclose(dz[i], (loss(z + step, bias) - loss(z - step, bias)) / (2 * e), rel_tol=1e-4, abs_tol=1e-9)
+
+
 def test_toxicity_learns_from_long_texts(spark):
     plain = "A plain line that says nothing of note. " * 600  # 24 KB
     rows = [(i, plain + ("You scoundrel. " if i % 2 else "")) for i in range(200)]
@@ -477,3 +532,19 @@ def test_pipeline(spark):
     assert sorted(last["doc_id"]) == sorted(mixed["doc_id"])
     assert all(list(ids) == lib.encode(text[i], add_eos=True) for i, ids in zip(last["doc_id"], last["ids"]))
     assert pipeline.run(spark, sf).count() == len(last)
+
+
+def test_links_at_the_threshold(spark):
+    """Pairs of similarity exactly 0.75 are linked, those just below are not; a column named like a helper's stays."""
+    rng, rows, linked = random.Random(8), [], set()
+    for i in range(400):
+        words = [f"{rng.choice(WORDS)}{rng.randrange(10 ** 6)}" for _ in range(74)]
+        own = 10 if i % 4 else 11  # 60 of 80 shingles in common, or 59 of 81
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-own] + [f"x{i}n{j}" for j in range(own)]))]
+        if own == 10:
+            linked.add(2 * i + 1)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_gone", F.lit(1)).withColumn("_gone_", F.lit(2))
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in near_duplicates(df).collect()}
+    assert got == {i: (i - 1 if i in linked else i, 70) for i, _ in rows}
+    kept = drop_near_duplicates(df)
+    assert kept.columns == df.columns and kept.count() == 800 - len(linked)
