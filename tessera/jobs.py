@@ -137,13 +137,13 @@ def job_tmax_test(spark, inputs, output, model_path):
 
 def job_tmax_train(spark, inputs, model_out, yesterday="true", regressor="gbt"):
     """Fit the tmax pipeline (prior-day SQL stage, assembler, regressor) on a
-    seeded 75% split, write validation r2 / rmse next to the saved model."""
+    stable 75% split, write validation r2 / rmse next to the saved model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
-    from .ml.features import day_of_year_stage, prior_day_stage, random_split, regression_metrics
+    from .ml.features import day_of_year_stage, hashed_split, prior_day_stage, regression_metrics
     from .plans.ml import WITH_YESTERDAY, WITHOUT_YESTERDAY, _regressor
     data = read_csv(spark, inputs, TMAX_SCHEMA)
-    train, valid = random_split(data)
+    train, valid = hashed_split(data, ["station", "date"])
     with_y = yesterday == "true"
     stages = [prior_day_stage() if with_y else day_of_year_stage(),
               VectorAssembler(inputCols=WITH_YESTERDAY if with_y else WITHOUT_YESTERDAY, outputCol="features"),
@@ -171,19 +171,18 @@ def job_colour_classify(spark, inputs, output, seed="42"):
     """Colour words from RGB and from LAB with a multilayer perceptron; weighted F1 per model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from .ml.features import RgbToLab, random_split
+    from pyspark.ml.feature import VectorAssembler
+    from .ml.features import RgbToLab, hashed_split
+    from .ml.labels import LabelDictionary, confusion, weighted_f1
     data = read_csv(spark, inputs, "R int, G int, B int, word string, confidence string")
-    train, valid = random_split(data, seed=int(seed))
-    n_labels = data.select("word").distinct().count()
+    labels = LabelDictionary.of(data, "word")  # of all rows: a label may be missing in the training split
+    n_labels = labels.table.count()
+    train, valid = hashed_split(labels.encode(data, "word").where("label IS NOT NULL"), data.columns, seed=int(seed))
     rows = []
     for name, pre, cols in (("rgb", [], ["R", "G", "B"]), ("lab", [RgbToLab()], ["labL", "labA", "labB"])):
         mlp = MultilayerPerceptronClassifier(layers=[3, 30, n_labels], seed=int(seed))
-        pipe = Pipeline(stages=[*pre, VectorAssembler(inputCols=cols, outputCol="features"),
-                                StringIndexer(inputCol="word", outputCol="label"), mlp])
-        f1 = MulticlassClassificationEvaluator(labelCol="label").evaluate(pipe.fit(train).transform(valid))
-        rows.append((name, float(f1)))
+        model = Pipeline(stages=[*pre, VectorAssembler(inputCols=cols, outputCol="features"), mlp]).fit(train)
+        rows.append((name, float(weighted_f1(confusion(model.transform(valid))).first()["f1"])))
     write_csv(spark.createDataFrame(rows, "features string, f1 double"), output, header=True)
 
 

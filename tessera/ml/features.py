@@ -38,9 +38,12 @@ def stable_split(df: DataFrame, key: Column, parts: int = 4, holdout: int = 1) -
     return df.where(bucket >= holdout), df.where(bucket < holdout)
 
 
-def random_split(df: DataFrame, weights=(0.75, 0.25), seed: int = 42) -> list[DataFrame]:
-    """Seeded random split (same rows for the same input partitioning)."""
-    return df.randomSplit(list(weights), seed=seed)
+def hashed_split(df: DataFrame, by: list[str], weights=(0.75, 0.25), seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Random-looking split by a hash of the columns ``by``: rows equal in them stay together, and the same rows
+    come out whatever the partitioning and order of the input."""
+    coin = F.pmod(F.xxhash64(F.lit(seed), *by), F.lit(1 << 30)) / float(1 << 30)
+    share = weights[0] / sum(weights)
+    return df.where(coin < share), df.where(coin >= share)
 
 
 class RgbToLab(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -68,19 +71,3 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
                  F.var_pop(y).alias("var"))
     return s.select("n", (1 - F.col("sse") / (F.col("var") * F.col("n"))).alias("r2"),
                     F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
-
-
-def weighted_f1(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """Label-frequency weighted F1 (MulticlassClassificationEvaluator's default metric)
-    from per-class counts: two small aggregates and a join, no driver collect."""
-    per_true = pred.groupBy(F.col(label).alias("c")).agg(
-        F.count(F.lit(1)).alias("n_true"),
-        F.sum(F.when(F.col(prediction) == F.col(label), 1).otherwise(0)).alias("tp"))
-    per_pred = pred.groupBy(F.col(prediction).alias("c")).agg(F.count(F.lit(1)).alias("n_pred"))
-    j = per_true.join(per_pred, "c", "left")
-    prec = F.when(F.coalesce("n_pred", F.lit(0)) == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("n_pred"))
-    rec = F.col("tp") / F.col("n_true")
-    j = j.select("n_true", prec.alias("p"), rec.alias("r"))
-    f1 = F.when(F.col("p") + F.col("r") == 0, F.lit(0.0)).otherwise(
-        2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r")))
-    return j.agg((F.sum(F.col("n_true") * f1) / F.sum("n_true")).alias("f1"))

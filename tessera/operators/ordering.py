@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def sort_with_position(df: DataFrame, order: list[Column | str], position_col: str = "rn") -> DataFrame:
-    # a row id as the last key: rows equal on ``order`` (in any number) are
-    # still cut into balanced ranges; their relative order is arbitrary anyway.
-    # Ids follow a local sort, so a recomputed task reproduces them exactly.
-    ordered = materialize(df.sortWithinPartitions(*order).withColumn("_tie", F.monotonically_increasing_id())
-                          .orderBy(*order, "_tie").drop("_tie"))
+def sort_with_position(df: DataFrame, order: list[Column | str], position_col: str = "rn", unique: bool = False) -> DataFrame:
+    """``df`` in ``order`` with positions from 1. ``unique``: no two rows are equal on ``order``."""
+    if unique:
+        ordered = materialize(df.orderBy(*order))
+    else:
+        # a row id as the last key: rows equal on ``order`` (in any number) are
+        # still cut into balanced ranges; their relative order is arbitrary anyway.
+        # Ids follow a local sort, so a recomputed task reproduces them exactly.
+        ordered = materialize(df.sortWithinPartitions(*order).withColumn("_tie", F.monotonically_increasing_id())
+                              .orderBy(*order, "_tie").drop("_tie"))
     tagged = ordered.select(
         "*",
         F.spark_partition_id().alias("_pid"),

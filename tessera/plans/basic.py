@@ -25,7 +25,7 @@ FROM w WHERE word <> '' GROUP BY word
 """)
 def wordcount(spark, sf_dir):
     counts = agg.word_count(table(spark, sf_dir, "documents"), "text")
-    return sort_with_position(counts, ["word"])
+    return sort_with_position(counts, ["word"], unique=True)
 
 
 @register("keyed_average", f"""

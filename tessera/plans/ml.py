@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
-from ..ml.features import (RgbToLab, prior_day_stage, random_split,
-                           regression_metrics, stable_split, weighted_f1)
-from ..session import scratch_path, table
+from ..ml.features import RgbToLab, hashed_split, prior_day_stage, regression_metrics, stable_split
+from ..ml.labels import LabelDictionary, confusion, weighted_f1
+from ..session import Scope, table
 from .colour import part_colours
 from .registry import register
 
@@ -63,22 +63,19 @@ SELECT CASE WHEN split_key % 4 < 1 THEN 'validation' ELSE 'train' END AS split,
 FROM d GROUP BY 1
 """)
 def ml_split(spark, sf_dir):
-    """Stable 3:1 split on a key (reproducible); ``random_split`` is the seeded alternative."""
+    """Stable 3:1 split on a key (reproducible); ``hashed_split`` splits by a hash."""
     train, valid = stable_split(daily_weather(spark, sf_dir), F.col("split_key"))
     return train.select(F.lit("train").alias("split")).unionByName(
         valid.select(F.lit("validation").alias("split"))).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _features(spark, sf_dir, join_first: bool = True):
-    """(train, validation) feature rows. Join-then-split keeps every prior-day
-    pair; the reference order (split, then join inside the pipeline) loses
+def _features(spark, sf_dir, scope: Scope):
+    """(train, validation) feature rows, computed once for all fits of a query. Join-then-split keeps every
+    prior-day pair; the reference order (split, then join inside the pipeline) loses
     pairs whose two days fall in different splits."""
-    daily = daily_weather(spark, sf_dir)
-    if join_first:
-        feats = prior_day_stage().transform(daily).withColumn(
-            "split_key", F.col("station").cast("long") + F.datediff("date", F.lit("1970-01-01")))
-        return stable_split(feats, F.col("split_key"))
-    return stable_split(daily, F.col("split_key"))
+    feats = prior_day_stage().transform(daily_weather(spark, sf_dir)).withColumn(
+        "split_key", F.col("station").cast("long") + F.datediff("date", F.lit("1970-01-01")))
+    return stable_split(scope.keep(feats), F.col("split_key"))
 
 
 def _regressor(kind: str, label: str = "tmax"):
@@ -108,40 +105,44 @@ def _metrics_row(pred, **tags):
 @register("ml_temperature")
 def ml_temperature(spark, sf_dir):
     """GBT on prior-day features; r2 / rmse on the validation split."""
-    train, valid = _features(spark, sf_dir)
-    _, pred = _fit_eval(train, valid, WITH_YESTERDAY, "gbt")
-    return _metrics_row(pred, model="gbt")
+    with Scope(spark) as scope:
+        train, valid = _features(spark, sf_dir, scope)
+        _, pred = _fit_eval(train, valid, WITH_YESTERDAY, "gbt")
+        return scope.result(_metrics_row(pred, model="gbt"))
 
 
 @register("ml_regressor_choice")
 def ml_regressor_choice(spark, sf_dir):
     """Decision tree, GBT and Gaussian GLM on the features without yesterday's value."""
-    train, valid = _features(spark, sf_dir)
     rows = None
-    for kind in ("tree", "gbt", "glm"):
-        _, pred = _fit_eval(train, valid, WITHOUT_YESTERDAY, kind)
-        r = _metrics_row(pred, model=kind)
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    with Scope(spark) as scope:
+        train, valid = _features(spark, sf_dir, scope)
+        for kind in ("tree", "gbt", "glm"):
+            _, pred = _fit_eval(train, valid, WITHOUT_YESTERDAY, kind)
+            r = _metrics_row(pred, model=kind)
+            rows = r if rows is None else rows.unionByName(r)
+        return scope.result(rows)
 
 
 @register("ml_ablation")
 def ml_ablation(spark, sf_dir):
     """The same GBT with and without yesterday's value as a feature."""
-    train, valid = _features(spark, sf_dir)
     out = None
-    for name, cols in (("with_yesterday", WITH_YESTERDAY), ("without_yesterday", WITHOUT_YESTERDAY)):
-        _, pred = _fit_eval(train, valid, cols, "gbt")
-        r = _metrics_row(pred, variant=name)
-        out = r if out is None else out.unionByName(r)
-    return out
+    with Scope(spark) as scope:
+        train, valid = _features(spark, sf_dir, scope)
+        for name, cols in (("with_yesterday", WITH_YESTERDAY), ("without_yesterday", WITHOUT_YESTERDAY)):
+            _, pred = _fit_eval(train, valid, cols, "gbt")
+            r = _metrics_row(pred, variant=name)
+            out = r if out is None else out.unionByName(r)
+        return scope.result(out)
 
 
 @register("ml_feature_importance")
 def ml_feature_importance(spark, sf_dir):
     """(feature, importance) of the fitted GBT; the weights sum to 1."""
-    train, valid = _features(spark, sf_dir)
-    model, _ = _fit_eval(train, valid, WITH_YESTERDAY, "gbt")
+    with Scope(spark) as scope:
+        train, valid = _features(spark, sf_dir, scope)
+        model, _ = _fit_eval(train, valid, WITH_YESTERDAY, "gbt")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(WITH_YESTERDAY, [float(x) for x in imp])),
                                  "feature string, importance double")
@@ -159,19 +160,20 @@ def ml_save_load(spark, sf_dir):
     """Fit the pipeline (SQL stage included) on the training split, save, load,
     and score the whole daily table like a separate test file; report metrics
     and the largest difference between the in-memory and reloaded predictions."""
-    daily = daily_weather(spark, sf_dir)
-    train, _ = stable_split(daily, F.col("split_key"))
-    model = _reference_pipeline().fit(train)
-    path = scratch_path(spark, "tmax-model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    a = model.transform(daily).select("station", "date", "tmax", "prediction")
-    b = loaded.transform(daily).select("station", "date", F.col("prediction").alias("reloaded"))
-    both = a.join(b, ["station", "date"])
-    m = regression_metrics(both, "tmax")
-    diff = both.agg(F.max(F.abs(F.col("prediction") - F.col("reloaded")))).first()[0]
-    return m.select("n", F.round("r2", P).alias("r2"), F.round("rmse", P).alias("rmse"),
-                    F.lit(float(diff)).alias("max_abs_diff"))
+    with Scope(spark) as scope:
+        daily = scope.keep(daily_weather(spark, sf_dir))
+        train, _ = stable_split(daily, F.col("split_key"))
+        model = _reference_pipeline().fit(train)
+        path = scope.path("tmax-model")
+        model.write().overwrite().save(path)
+        loaded = PipelineModel.load(path)
+        a = model.transform(daily).select("station", "date", "tmax", "prediction")
+        b = loaded.transform(daily).select("station", "date", F.col("prediction").alias("reloaded"))
+        both = a.join(b, ["station", "date"])
+        m = regression_metrics(both, "tmax")
+        diff = both.agg(F.max(F.abs(F.col("prediction") - F.col("reloaded")))).first()[0]
+        return scope.result(m.select("n", F.round("r2", P).alias("r2"), F.round("rmse", P).alias("rmse"),
+                                     F.lit(float(diff)).alias("max_abs_diff")))
 
 
 @register("ml_next_day")
@@ -200,10 +202,12 @@ SELECT p_type AS word, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) -
 FROM part GROUP BY p_type
 """)
 def ml_label_index(spark, sf_dir):
-    """Labels indexed by descending frequency (ties alphabetical), 0 = most frequent."""
-    part = table(spark, sf_dir, "part").select(F.col("p_type").alias("word"))
-    indexed = StringIndexer(inputCol="word", outputCol="label").fit(part).transform(part)
-    return indexed.groupBy("word", "label").agg(F.count(F.lit(1)).alias("n"))
+    """Labels indexed by descending frequency (ties alphabetical), 0 = most frequent; the words shown are
+    those that the indices stand for, so the result also says that the way back is right."""
+    part = table(spark, sf_dir, "part").select(F.col("p_type").alias("type"))
+    labels = LabelDictionary.of(part, "type")
+    back = labels.decode(labels.encode(part, "type"), "label", "word")
+    return back.groupBy("word", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("ml_colour")
@@ -211,19 +215,18 @@ def ml_colour(spark, sf_dir):
     """Multilayer perceptron from colour to label, on RGB and on LAB features;
     weighted F1 on the validation split. The output layer has one unit per label."""
     data = part_colours(spark, sf_dir).withColumnRenamed("p_type", "word")
-    train, valid = random_split(data, seed=SEED)
-    n_labels = data.select("word").distinct().count()
-    indexer = StringIndexer(inputCol="word", outputCol="label")
-    out = None
-    for name, pre, cols in (("rgb", [], ["R", "G", "B"]),
-                            ("lab", [RgbToLab()], ["labL", "labA", "labB"])):
-        mlp = MultilayerPerceptronClassifier(layers=[3, 30, n_labels], seed=SEED, maxIter=100)
-        pipe = Pipeline(stages=[*pre, VectorAssembler(inputCols=cols, outputCol="features"), indexer, mlp])
-        pred = pipe.fit(train).transform(valid)
-        f1 = MulticlassClassificationEvaluator(predictionCol="prediction", labelCol="label").evaluate(pred)
-        row = spark.createDataFrame([(name, float(f1))], "features string, f1 double")
-        out = row if out is None else out.unionByName(row)
-    return out
+    out = []
+    with Scope(spark) as scope:
+        labels = LabelDictionary.of(data, "word")  # of all rows: a label may be missing in the training split
+        n_labels = labels.table.count()
+        train, valid = hashed_split(scope.keep(labels.encode(data, "word")), ["p_partkey"], seed=SEED)
+        for name, pre, cols in (("rgb", [], ["R", "G", "B"]),
+                                ("lab", [RgbToLab()], ["labL", "labA", "labB"])):
+            mlp = MultilayerPerceptronClassifier(layers=[3, 30, n_labels], seed=SEED, maxIter=100)
+            pipe = Pipeline(stages=[*pre, VectorAssembler(inputCols=cols, outputCol="features"), mlp])
+            table_ = confusion(pipe.fit(train).transform(valid))
+            out.append((name, float(weighted_f1(table_).first()["f1"])))
+    return spark.createDataFrame(out, "features string, f1 double")
 
 
 SIZE_RULE = ("CASE WHEN p_size < 10 THEN 'SMALL' WHEN p_size > 40 THEN 'LARGE' ELSE 'MEDIUM' END")
@@ -246,11 +249,9 @@ def classification_f1(spark, sf_dir):
     by aggregation and by MLlib's evaluator (they must agree)."""
     part = table(spark, sf_dir, "part")
     pr = part.select(F.col("p_type").alias("word"), F.expr(SIZE_RULE).alias("guess"))
-    idx = StringIndexer(inputCol="word", outputCol="label").fit(pr)
-    labels = idx.labels
-    scored = idx.transform(pr).withColumn(
-        "prediction", (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("guess")) - 1).cast("double"))
-    agg_f1 = weighted_f1(scored, "label", "prediction")
+    labels = LabelDictionary.of(pr, "word")
+    scored = labels.encode(labels.encode(pr, "word"), "guess", "prediction", unseen=-1.0)
+    agg_f1 = weighted_f1(confusion(scored))
     ev = MulticlassClassificationEvaluator(predictionCol="prediction", labelCol="label", metricName="f1")
     f1_ev = ev.evaluate(scored)
     return agg_f1.select(F.round("f1", P).alias("f1"), F.round(F.lit(f1_ev), P).alias("f1_evaluator"))

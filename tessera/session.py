@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -33,6 +34,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -120,6 +122,53 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scope:
+    """Lifetime of what a job keeps for reuse: persisted inputs and staged tables go when the scope ends.
+
+        with Scope(spark) as scope:
+            features = scope.keep(daily.select(...))     # computed once, pruned before it is kept
+            ...
+            return scope.result(metrics)                 # a small result, taken out of the scope
+
+    ``keep`` holds a DataFrame in executor memory and on their disks: lost
+    parts are computed again. ``stage`` writes a table to the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._kept, self._paths = spark, [], []
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for df in self._kept:
+            df.unpersist()
+        for path in self._paths:
+            remove_path(self.spark, path)
+
+    def keep(self, df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+        kept = df.persist(level)
+        self._kept.append(kept)
+        return kept
+
+    def path(self, name: str) -> str:
+        """A fresh folder of the shared scratch, removed at the end."""
+        self._paths.append(scratch_path(self.spark, name))
+        return self._paths[-1]
+
+    def stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame, max_rows: int = 1000) -> DataFrame:
+        """A result of a few rows that outlives the scope. More than ``max_rows`` are refused."""
+        rows = df.limit(max_rows + 1).collect()
+        if len(rows) > max_rows:
+            raise ValueError(f"more than {max_rows} rows: write the result instead")
+        return self.spark.createDataFrame(rows, df.schema)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
