@@ -187,22 +187,22 @@ def job_colour_classify(spark, inputs, output, seed="42"):
 
 
 def job_stream_regression(spark, source, output, fmt="kafka", timeout="600", checkpoint=None):
-    """Running slope/intercept of "x y" messages. ``source`` is a topic (kafka;
-    servers from ``spark.tessera.kafka.servers``) or a directory (text)."""
+    """Running slope/intercept of "x y" messages for ``timeout`` seconds. ``source`` is a topic (kafka;
+    servers from ``spark.tessera.kafka.servers``), a directory (text), or nothing for a source without one (``-``).
+    The result at ``output`` is read with ``tessera.streaming.commits.read_current``."""
     from .streaming.regression import read_stream, start_regression
     if fmt == "kafka":
         servers = spark.conf.get("spark.tessera.kafka.servers")
         messages = read_stream(spark, "kafka", **{"kafka.bootstrap.servers": servers, "subscribe": source})
     else:
-        messages = read_stream(spark, fmt, source)
+        messages = read_stream(spark, fmt, None if source == "-" else source)
     if output == "-":
         q = start_regression(spark, messages, checkpoint=checkpoint, sink="console",
                              available_now=False, truncate="false")
     else:   # the running (beta, alpha) table is replaced at ``output`` every micro-batch
         q = start_regression(spark, messages, checkpoint=checkpoint, sink="table",
                              available_now=False, table_path=output)
-    q.processAllAvailable()          # what is already there is processed and written first
-    q.awaitTermination(int(timeout))
+    q.awaitTermination(int(timeout))   # the only wait; a stopped micro-batch leaves the last committed result
     q.stop()
 
 

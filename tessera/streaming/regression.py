@@ -15,11 +15,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
+from .commits import commit_version, current_version
+
+
+#: Bytes of new files that a micro-batch of a file source takes at most.
+BATCH_BYTES = 64 << 20
 
 
 def read_stream(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
     """Any streaming source by format name; a message broker passes its options
-    (servers, topic); file sources take a path. ``value`` is cast to string."""
+    (servers, topic, ``maxOffsetsPerTrigger``); file sources take a path.
+    ``value`` is cast to string.
+
+    Micro-batches are cut by the source's offsets and limited in bytes
+    (``maxBytesPerTrigger``, for file sources 64 MB if not given), so a backlog
+    of any size is taken in portions and a restart goes on after the last
+    portion in the offset log.
+    """
+    if path:
+        options = {"maxBytesPerTrigger": BATCH_BYTES, **options}
     reader = spark.readStream.format(fmt).options(**options)
     df = reader.load(path) if path else reader.load()
     return df.select(F.col("value").cast("string").alias("value"))
@@ -51,17 +65,20 @@ def start_regression(spark: SparkSession, messages: DataFrame, checkpoint: str |
     """Start the streaming query in complete mode; the caller awaits or stops it.
 
     ``sink`` is a streaming format (``memory``, ``console``) or ``"table"``:
-    file sinks only append, so the complete result is written with
-    ``foreachBatch`` as a Parquet table at ``table_path``, replaced each
-    micro-batch (the checkpoint makes a replayed batch rewrite the same result).
+    file sinks only append, so each micro-batch commits the complete result as
+    a new version at ``table_path`` (``read_current`` reads it). A micro-batch
+    that runs again after a crash commits the same result again; one of an
+    epoch below the committed one of the same checkpoint is left out.
     """
     result = regression_state(parse_points(messages))
     name = query_name or f"regression_{uuid.uuid4().hex[:12]}"
-    w = (result.writeStream.outputMode("complete").queryName(name)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+    checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
+    w = result.writeStream.outputMode("complete").queryName(name).option("checkpointLocation", checkpoint)
     if sink == "table":
-        def replace_table(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(table_path)
+        def replace_table(batch: DataFrame, epoch: int) -> None:
+            committed = current_version(batch.sparkSession, table_path)
+            if not committed or committed["checkpoint"] != checkpoint or committed["epoch"] <= epoch:
+                commit_version(batch, table_path, epoch=epoch, checkpoint=checkpoint)
         w = w.foreachBatch(replace_table)
     else:
         w = w.format(sink)

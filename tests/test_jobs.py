@@ -9,6 +9,7 @@ from tessera.plans.fixtures import comments, log_lines, weather_observations
 from tessera.plans.graph import succession_edges
 from tessera.session import table
 from tessera.sources.files import adjacency_lines
+from tessera.streaming.commits import read_current
 
 from .conftest import SF_SMALL
 
@@ -91,11 +92,21 @@ def test_stream_regression_job(spark, tmp_path):
     src.mkdir()
     (src / "p.txt").write_text("0 1\n1 3\n2 5\n")
     out = str(tmp_path / "fit")
-    jobs.main(["stream_regression", str(src), out, "text", "8", str(tmp_path / "ck")])
-    r = spark.read.parquet(out).first()
+    jobs.main(["stream_regression", str(src), out, "text", "30", str(tmp_path / "ck")])
+    r = read_current(spark, out).first()
     assert r["n"] == 3 and abs(r["beta"] - 2.0) < 1e-9 and abs(r["alpha"] - 1.0) < 1e-9
 
 
+def test_stream_job_ends_at_its_timeout(spark, tmp_path):
+    """A live source never runs dry; the job still ends, and leaves a whole result."""
+    import time
+    out = str(tmp_path / "fit")
+    start = time.time()
+    jobs.main(["stream_regression", "-", out, "rate", "15", str(tmp_path / "ck")])
+    assert 15 <= time.time() - start < 60
+    assert read_current(spark, out).columns == ["n", "beta", "alpha"]
+
+
 def test_file_format_jobs(spark, tmp_path):
     import __spark_entry__ as entry
     from tessera.plans.io import _pagecount_files

@@ -369,6 +369,7 @@ def test_first_days_average_groups_by_day(spark):
 
 
 def test_stream_to_table_sink(spark, tmp_path):
+    from tessera.streaming.commits import read_current
     from tessera.streaming.regression import read_stream, start_regression
     src = tmp_path / "in"
     src.mkdir()
@@ -377,7 +378,7 @@ def test_stream_to_table_sink(spark, tmp_path):
     q = start_regression(spark, read_stream(spark, "text", str(src)), checkpoint=str(tmp_path / "ck"),
                          sink="table", table_path=out)
     q.awaitTermination()
-    r = spark.read.parquet(out).first()
+    r = read_current(spark, out).first()
     assert r["n"] == 3 and r["beta"] == pytest.approx(2.0) and r["alpha"] == pytest.approx(-1.0)
 
 
