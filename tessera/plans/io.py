@@ -14,7 +14,8 @@ from ..functions.text import WORD_SEPARATORS, format_pair
 from ..operators import aggregates as agg
 from ..operators.extremes import keep_max_semi
 from ..operators.weather import weather_etl
-from ..session import scratch_path, table
+from ..session import materialize, scratch_path, table
+from ..sources.batched import BatchedRows
 from ..sources.files import (range_source, read_csv, read_delimited_with_file, read_json,
                              read_table, read_text)
 from ..sources.keyed_table import KeyedTable
@@ -59,22 +60,30 @@ def src_json(spark, sf_dir):
                                        F.count(F.lit(1)).alias("n"))
 
 
-@register("json_decode", AVG_BY_SEGMENT_SQL)
+@register("json_decode", f"""
+SELECT a.*, (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0) AS corrupt_lines FROM ({AVG_BY_SEGMENT_SQL}) a
+""")
 def json_decode(spark, sf_dir):
     """Per-line JSON decode of text; the score is read as text and converted with
     ``try_cast``, so ``"5"`` and ``5`` both count and a malformed value is NULL.
-    Negative scores are written as quoted strings to exercise that path."""
+    Negative scores are written as quoted strings to exercise that path; every
+    tenth customer also adds a broken line, and the result says how many were found."""
     c = comments(spark, sf_dir)
     score_txt = F.when(F.col("score") < 0, F.format_string('"%s"', F.col("score").cast("string"))) \
                  .otherwise(F.col("score").cast("string"))
     base = F.to_json(F.struct("subreddit", "author"))
     line = F.regexp_replace(base, r"\}$", F.concat(F.lit(', "score": '), score_txt, F.lit("}")))
-    lines = c.select(line.alias("value"))
-    path = write_text(lines, scratch_path(spark, "jsonl"))
+    broken = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select(
+        F.concat(F.lit('{"subreddit": "'), F.col("c_name")).alias("value"))
+    path = write_text(c.select(line.alias("value")).unionByName(broken), scratch_path(spark, "jsonl"))
     decoded = decode_json_lines(read_text(spark, path), "subreddit string, score string, author string")
-    rows = decoded.where(~F.col("_corrupt")).select("subreddit", F.col("score").try_cast("double").alias("score"))
-    return rows.groupBy("subreddit").agg(F.round(F.avg("score"), R).alias("average"),
-                                         F.count(F.lit(1)).alias("n"))
+    # one pass: the corrupt lines are a group of their own, then a column next to the others
+    keyed = decoded.select(F.col("_corrupt"), F.when(~F.col("_corrupt"), F.col("subreddit")).alias("subreddit"),
+                           F.col("score").try_cast("double").alias("score"))
+    groups = materialize(keyed.groupBy("_corrupt", "subreddit").agg(F.round(F.avg("score"), R).alias("average"),
+                                                                    F.count(F.lit(1)).alias("n")))
+    lost = groups.agg(F.coalesce(F.sum(F.when(F.col("_corrupt"), F.col("n"))), F.lit(0)).alias("corrupt_lines"))
+    return groups.where("NOT _corrupt").join(F.broadcast(lost)).select("subreddit", "average", "n", "corrupt_lines")
 
 
 WEATHER_ETL_SQL = f"""
@@ -155,6 +164,26 @@ def src_pushdown_filter(spark, sf_dir):
     return li.where(F.expr(PUSHDOWN_WHERE)).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+CSV_WHERE = "l_returnflag = 'R' AND l_quantity < 10 AND l_shipdate >= '1996-01-01'"
+
+
+@register("src_csv_pushdown", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_returnflag = 'R' AND l_quantity < 10 AND l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'
+""")
+def src_csv_pushdown(spark, sf_dir):
+    """Filters evaluated inside a gzip CSV scan (``PushedFilters`` on the CSV node). Lines of other return flags
+    hold no number where the quantity belongs: the scan skips them before it converts their further fields, so
+    even a scan that fails on malformed lines (FAILFAST) reads the file."""
+    quantity = F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("string")).otherwise("n/a")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", quantity.alias("l_quantity"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+        "l_orderkey", "l_linenumber")
+    path = write_csv(lines, scratch_path(spark, "pushcsv"), compression="gzip")
+    schema = "l_returnflag string, l_quantity double, l_shipdate string, l_orderkey long, l_linenumber long"
+    return read_csv(spark, path, schema, mode="FAILFAST").where(CSV_WHERE).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @register("src_table_connector", f"""
 WITH {LOGS_SQL}
 SELECT host, count(*) AS x, CAST(sum(bytes) AS BIGINT) AS y FROM logs GROUP BY host
@@ -281,6 +310,22 @@ def sink_table_append(spark, sf_dir):
     return host_request_bytes(read_table(spark, "parquet", path))
 
 
+@register("sink_batched", f"""
+WITH {LOGS_SQL}
+SELECT host, count(*) AS x, CAST(sum(bytes) AS BIGINT) AS y FROM logs GROUP BY host
+""")
+def sink_batched(spark, sf_dir):
+    """Two appends in batches of 100 rows (first and second half of the month); a task's last,
+    smaller batch is written like the others."""
+    spark.dataSource.register(BatchedRows)
+    logs = staged_logs(spark, sf_dir)
+    path = scratch_path(spark, "batched")
+    early = F.dayofmonth("datetime") <= 15
+    for half in (logs.where(early), logs.where(~early)):
+        write_table(half, "batched_rows", mode="append", path=path, batch_rows=100)
+    return host_request_bytes(spark.read.format("batched_rows").schema(logs.schema).load(path))
+
+
 @register("sink_n_files", f"""
 WITH {LOGS_SQL}
 SELECT host, count(*) AS x, CAST(sum(bytes) AS BIGINT) AS y FROM logs GROUP BY host

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import first_days_average
@@ -50,16 +52,19 @@ FROM customer c
 """
 
 
-def register_prefix_view(spark, sf_dir, name: str = "customer_prefix_flags"):
+def register_prefix_view(spark, sf_dir, name: str | None = None):
     """``custid, known_prefix``: 1/0 whether the code prefix is in a distinct prefix set.
 
     ``x IN (subquery)`` as a value is a left join to the distinct, non-NULL
-    prefix set; a NULL probe stays NULL. The view keeps its SQL text, not a
-    plan or rows: it lists and reads the files each time it is queried.
+    prefix set; a NULL probe stays NULL. The view belongs to the catalog, not
+    to the session, under the caller's name (by default one for each data
+    folder, so that two of them don't replace each other). It keeps its SQL
+    text, not a plan or rows: it lists and reads the files each time it is queried.
     """
+    name = name or f"customer_prefix_flags_{zlib.crc32(str(sf_dir).encode()):08x}"
     files = f"parquet.`{sf_dir}/customer.parquet`"
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY VIEW {name} AS
+        CREATE OR REPLACE VIEW {name} AS
         SELECT c_custkey AS custid,
                IF(c_mktsegment IS NULL, NULL, CAST(prefix IS NOT NULL AS INT)) AS known_prefix
         FROM {files} LEFT JOIN (

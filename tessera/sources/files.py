@@ -24,9 +24,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",",
-             header: bool = False) -> DataFrame:
-    """Headerless by default; an empty field is NULL."""
-    return spark.read.schema(schema).option("sep", sep).option("header", header).csv(path)
+             header: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
+    """Headerless by default; an empty field is NULL. Filters on the result are evaluated by the scan as soon as
+    a line's fields up to the tested one are parsed; ``mode`` says what a malformed line does that gets further."""
+    return spark.read.schema(schema).option("sep", sep).option("header", header).option("mode", mode).csv(path)
 
 
 def read_delimited_with_file(spark: SparkSession, path: str, schema: T.StructType | str,
