@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import words
 from ..session import spread
@@ -57,16 +58,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def six_sums(xy: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """n, Σx, Σy, Σxy, Σx², Σy² in one aggregate (one job instead of six)."""
-    xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
-    return xy.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(xc).alias("sum_x"),
-        F.sum(yc).alias("sum_y"),
-        F.sum(xc * yc).alias("sum_xy"),
-        F.sum(xc * xc).alias("sum_x2"),
-        F.sum(yc * yc).alias("sum_y2"),
-    )
+    """n, Σx, Σy, Σxy, Σx², Σy² in one aggregate (one job instead of six), as doubles.
+
+    Sums of whole numbers are exact (decimals inside), so the differences that
+    a correlation takes of them don't lose digits before they are taken.
+    """
+    whole = all(isinstance(xy.schema[c].dataType, T.IntegralType) for c in (x, y))
+    kind = "decimal(38,0)" if whole else "double"
+    xc, yc = F.col(x).cast(kind), F.col(y).cast(kind)
+    total = lambda c, name: F.sum(c).cast("double").alias(name)
+    return xy.agg(F.count(F.lit(1)).alias("n"), total(xc, "sum_x"), total(yc, "sum_y"), total(xc * yc, "sum_xy"),
+                  total(xc * xc, "sum_x2"), total(yc * yc, "sum_y2"))
 
 
 def pearson_from_sums(sums: DataFrame) -> DataFrame:

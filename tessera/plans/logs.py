@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.logs import host_request_bytes, parse_log_lines
-from ..operators.aggregates import linear_regression, pearson_from_sums
+from ..operators.aggregates import linear_regression, pearson_from_sums, six_sums
 from ..session import scratch_path, table
 from ..sources.files import read_text
 from ..sources.sinks import write_text
@@ -64,17 +64,6 @@ def host_traffic(spark, sf_dir):
     return host_request_bytes(staged_logs(spark, sf_dir))
 
 
-def exact_six_sums(xy):
-    """The six sums with integer x, y summed exactly (decimal) and reported as double."""
-    d = "decimal(38,0)"
-    x, y = F.col("x").cast(d), F.col("y").cast(d)
-    return xy.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(x).cast("double").alias("sum_x"), F.sum(y).cast("double").alias("sum_y"),
-        F.sum(x * y).cast("double").alias("sum_xy"),
-        F.sum(x * x).cast("double").alias("sum_x2"), F.sum(y * y).cast("double").alias("sum_y2"))
-
-
 SIX_SQL = f"""
 WITH {LOGS_SQL},
 xy AS (SELECT host, count(*) AS x, sum(bytes) AS y FROM logs GROUP BY host),
@@ -87,7 +76,7 @@ s AS (SELECT count(*) AS n,
 
 @register("six_sums", f"{SIX_SQL}\nSELECT * FROM s")
 def six_sums_q(spark, sf_dir):
-    return exact_six_sums(host_request_bytes(staged_logs(spark, sf_dir)))
+    return six_sums(host_request_bytes(staged_logs(spark, sf_dir)))
 
 
 @register("log_correlation", f"""{SIX_SQL}
@@ -98,7 +87,7 @@ SELECT round(r, 6) AS r, round(r * r, 6) AS r2 FROM (
 """)
 def log_correlation(spark, sf_dir):
     """Pearson r of (requests, bytes) per host, from the six sums in one job."""
-    sums = exact_six_sums(host_request_bytes(staged_logs(spark, sf_dir)))
+    sums = six_sums(host_request_bytes(staged_logs(spark, sf_dir)))
     r = pearson_from_sums(sums)
     return r.select(F.round("r", 6).alias("r"), F.round("r2", 6).alias("r2"))
 

@@ -29,7 +29,7 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-MODULES = ("basic", "joins", "warehouse", "logs", "io", "graph", "stream", "colour", "ml", "models")
+MODULES = ("basic", "joins", "warehouse", "logs", "io", "graph", "stream", "colour", "ml", "models", "edges")
 
 
 def load_all() -> None:

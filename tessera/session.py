@@ -73,8 +73,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     Large inputs already arrive in many splits and are left alone; only a
     few big row groups or unsplittable files (gzip) get spread before
-    expensive per-row work.
+    expensive per-row work. What comes out of a shuffle is left alone too:
+    its partitions are sized at run time, and to ask for their number now
+    would run the plan up to there.
     """
+    if df._jdf.queryExecution().executedPlan().nodeName() == "AdaptiveSparkPlan":
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
