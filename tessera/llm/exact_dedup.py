@@ -8,7 +8,8 @@ A text that holds a large share of all rows would end in one range. Such
 texts are found first from a map-side combined count of 64-bit hashes (at
 most ``4 * partitions`` hashes can pass the threshold, so that list has a
 proven bound and may be broadcast). They are dealt over ``salts`` sub-ranges
-and the sub-ranges of a hot text are merged by SHA-256.
+by the rows' places in the input, whatever their ids, and the sub-ranges of a
+hot text are merged by SHA-256.
 
 Defined results: a null text counts as empty; a null id sorts after every
 other id (it stays only if all ids of its group are null); of rows that
@@ -45,11 +46,13 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = text_or_empty(text_col)
     rows = docs.select(
         F.col(id_col).alias("_id"), text.alias("_t"), F.col(text_col).isNull().alias("_null"),
+        F.monotonically_increasing_id().alias("_place"),
         *([F.struct(*rest).alias("_rest")] if rest else []))
     rows = (rows.withColumn("_hash", F.xxhash64("_t"))
             .join(F.broadcast(hot_texts(docs, text_col)), F.col("_hash") == F.col("_hot"), "left")
             .withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0))
-                        .otherwise(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(salts))).cast("int")))
+                        .otherwise(F.pmod(F.xxhash64("_place"), F.lit(salts))).cast("int"))
+            .drop("_place"))
     # Splitters are sampled by the driver: they hold the text's beginning and its hash, not the text.
     place = ["_start", "_hash", "_salt"]
     ranged = rows.withColumn("_start", F.substring("_t", 1, 32)).repartitionByRange(partitions(docs.sparkSession), *place)
@@ -68,14 +71,20 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # Only the first of each sub-range can stay, so the copies' texts end here.
         marked = marked.where(F.col("_n") == 1)
     marked = stage(marked.select("_id", F.sha2(F.col("_t"), 256).alias("_sha"), F.col("_hot").isNotNull().alias("_is_hot"),
-                                 "_n", "_sub_size", "_sub_keep", *back), "exact")
+                                 "_salt", "_n", "_sub_size", "_sub_keep", *back), "exact")
     hot = marked.where("_is_hot")
+    # the best id, and of the sub-ranges that hold it the first: exactly one row stays
+    if keep == "max":
+        first = F.max(F.struct(F.col("_sub_keep").alias("id"), (-F.col("_salt")).alias("at")))
+    else:
+        first = F.min(F.struct(F.col("_sub_keep").isNull().alias("none"), F.col("_sub_keep").alias("id"), F.col("_salt").alias("at")))
     totals = (hot.where(F.col("_n") == 1).groupBy(F.col("_sha").alias("_sha2"))
-              .agg(best("_sub_keep").alias("_all_keep"), F.sum("_sub_size").alias("_all_size")))
+              .agg(first.alias("_first"), F.sum("_sub_size").alias("_all_size"))
+              .select("_sha2", "_all_size", F.col("_first.id").alias("_all_keep"), F.abs("_first.at").alias("_at")))
     carried = ["_row"] if payload is not None else []
     hot_out = hot.join(F.broadcast(totals), F.col("_sha") == F.col("_sha2")).select(
         "_id", F.col("_all_keep").alias("_keep"), F.col("_all_size").alias("_size"),
-        ((F.col("_n") == 1) & F.col("_id").eqNullSafe(F.col("_all_keep"))).alias("_kept"), "_sha", *carried)
+        ((F.col("_n") == 1) & (F.col("_salt") == F.col("_at"))).alias("_kept"), "_sha", *carried)
     cold_out = marked.where("not _is_hot").select(
         "_id", F.col("_sub_keep").alias("_keep"), F.col("_sub_size").alias("_size"),
         (F.col("_n") == 1).alias("_kept"), "_sha", *carried)
