@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.llm import oracles, queries
 from tessera.llm.ann import nearest
 from tessera.llm.components import components
-from tessera.llm.exact_dedup import drop_copies, exact_dedup
+from tessera.llm.exact_dedup import drop_copies, exact_dedup, mark_copies
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.minhash_dedup import drop_near_duplicates, near_duplicates, shingle_sets
 from tessera.llm.mixing import mix_sources, mixed_documents
@@ -24,7 +24,7 @@ from tessera.llm.piece_codec import encode_documents, encode_text
 from tessera.llm.quality import FEATURES, good_documents, grow, quality, statistics
 from tessera.llm.sharding import balanced_shards
 from tessera.llm.spm import CHUNK, Model, Normalizer
-from tessera.llm.token_counts import Transducer, block_map, compose, count_tokens, total_of
+from tessera.llm.token_counts import Transducer, block_map, compose, count_tokens, total_of, total_of_blocks
 from tessera.llm import toxicity as toxicity_module
 from tessera.llm.toxicity import toxicity
 from tessera.session import table
@@ -112,6 +112,21 @@ def test_exact_dedup_hot_text(spark):
     assert drop_copies(rows, keep="min").where("text = 'hot'").first().doc_id == 0
 
 
+@pytest.mark.parametrize("keep", ["max", "min"])
+def test_exact_dedup_spreads_equal_ids(spark, keep):
+    """Half of the rows are one text, with null ids or a single one: the sub-ranges share them evenly, one row stays."""
+    for hot_id in (F.lit(None).cast("long"), F.lit(77).cast("long")):
+        rows = spark.range(20000).select(F.when(F.col("id") % 2 == 0, hot_id).otherwise(F.col("id")).alias("doc_id"),
+                                         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("text"))
+        marked = mark_copies(rows, keep=keep)
+        assert marked.where("_kept").count() == 10001
+        hot = marked.where("_size > 1")
+        assert hot.count() == 10000 and hot.where("_kept").count() == 1
+        assert {r._keep for r in hot.select("_keep").distinct().collect()} == {rows.where("text = 'hot'").first().doc_id}
+    salts = spark.read.parquet(marked.inputFiles()[0].rsplit("/", 1)[0]).where("_is_hot").groupBy("_salt").count().collect()
+    assert len(salts) == 64 and max(r["count"] for r in salts) < 3 * min(r["count"] for r in salts)
+
+
 def test_line_dedup(spark, odd, empty):
     docs = odd_rows()
     key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\v\f\r"))
@@ -507,7 +522,27 @@ def test_block_maps_compose():
         a, b, c, d = (block_map(count, s[i:j]) for i, j in zip([0, *cuts], [*cuts, len(s)]))
         left = compose(count, compose(count, compose(count, a, b), c), d)
         right = compose(count, a, compose(count, b, compose(count, c, d)))
-        assert total_of(count, left) == total_of(count, right) == sum(map(count, CHUNK.findall(s)))
+        assert total_of(count, left) == total_of(count, right) == total_of_blocks(count, [a, b, c, d]) == sum(map(count, CHUNK.findall(s)))
+
+
+def test_long_text_without_spaces():
+    """Blocks that meet as text take time linear in it, and the tables stay bounded while the chunk runs."""
+    import time
+
+    import sentencepiece
+
+    lib, rng = sentencepiece.SentencePieceProcessor(model_file=model_path()), random.Random(1)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60000))
+    transducer = Transducer(Model(open(model_path(), "rb").read()), max_states=2000)
+    assert transducer.count(" " + text) == len(lib.encode(text))
+    assert len(transducer.states) < 2000 + 4097
+    count, seconds = lambda chunk: len(chunk), []
+    for n in (200, 400):
+        maps = [block_map(count, "x" * 65536) for _ in range(n)]
+        start = time.perf_counter()
+        assert total_of_blocks(count, maps) == n * 65536
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 8 * seconds[0]
 
 
 def test_pipeline(spark):
