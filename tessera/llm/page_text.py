@@ -51,9 +51,12 @@ WALLS = frozenset("html body table ul ol dl div article main section nav aside h
 #: Names in class or id that mark what isn't the article; those of the second group hold whole articles at times.
 HINTS = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent
     gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social
-    breadcrumb breadcrumbs menu navbar nav navigation topbar masthead footer pagination pager toolbar skip search form""".split())
-DEEP_HINTS = frozenset("""comment comments commentlist disqus replies reply respond sidebar related recommended recommendations
-    teaser teasers widget widgets""".split())
+    breadcrumb breadcrumbs menu navbar nav navigation topbar masthead footer pagination pager toolbar skip search form
+    adsense adslot adbox adunit cookiebar cookiebanner cookienotice topnav subnav sidenav mainnav sitenav sitefooter subfooter""".split())
+DEEP_HINTS = frozenset("""comment comments commentlist commentsection commentbox usercomments disqus replies reply respond sidebar
+    related recommended recommendations teaser teasers widget widgets""".split())
+#: Whole names that mark a page's header; an article has headers of its own.
+HEADERS = frozenset("header site-header page-header main-header top-header siteheader pageheader".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 NOT_A_MARK = frozenset("has no with without non not".split())
 
@@ -66,17 +69,18 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 OPEN, PROTECTED = 0, 1
 
 
-def _marks(tag: str, name: str) -> tuple[bool, bool, bool]:
+def _marks(tag: str, name: str, in_article: bool) -> tuple[bool, bool, bool]:
     """(isn't the article, not even where an article begins inside, is the article) by the attributes of a start tag."""
     out = deep = main = False
     for key, value in _ATTRIBUTE.findall(tag):
         key, value = key.lower(), references.unescape(value.strip("\"'"))
         if key in ("class", "id"):
-            for word in value.split():
-                parts = [p.lower() for p in _PART.findall(word)]
-                if name not in ("html", "body") and not NOT_A_MARK.intersection(parts):
+            for word in value.split() if name not in ("html", "body") else ():
+                # an article's names list its topics and settings, too: only a whole name says what it is
+                parts = [word.lower()] if name in ("article", "main") else [p.lower() for p in _PART.findall(word)]
+                if not NOT_A_MARK.intersection(parts):
                     deep |= not DEEP_HINTS.isdisjoint(parts)
-                    out |= not HINTS.isdisjoint(parts)
+                    out |= not HINTS.isdisjoint(parts) or (word.lower() in HEADERS and not in_article)
         elif key == "role":
             out |= value.lower() in ROLES
             main |= value.lower() == "main"
@@ -168,7 +172,7 @@ class Blocks:
         elif name in ("td", "th"):
             self._words(" ")
         _, marked, deep, articles, mains = self.stack[-1]
-        out, deeper, main = _marks(tag, name) if "=" in tag or "hidden" in tag else (False, False, False)
+        out, deeper, main = _marks(tag, name, articles > 0) if "=" in tag or "hidden" in tag else (False, False, False)
         if name in DROPPED or (name == "header" and not articles):
             out = deeper = True
         if name == "article":

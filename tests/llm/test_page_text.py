@@ -33,6 +33,9 @@ def texts(page):
     ("<div class=ad>no<article><p>a</article>", ["a"]),
     ("<div class=sidebar><article><p>teaser</article></div><p>a", ["a"]),
     ("<body class='has-sidebar no-ads'><p class='shadow readers'>a", ["a"]),
+    ("<article class='post tag-ads comments-open no-sidebar'><div class=header><p>a</div></article>", ["a"]),
+    ("<article class='comment'><p>no</article><p>a", ["a"]),
+    ("<div class=header>no</div><div id=siteHeader>no</div><div class='entry-header'>T</div><p>a", ["T", "a"]),
     ("<p hidden>no<p style='color:red; display: none'>no<p>a", ["a"]),
     ("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><th>e</table>", ["a", "b", "c d", "e"]),
     ("<p>1 < 2 && 3 > 2 &copy; &am", ["1 < 2 && 3 > 2 © &am"]),
