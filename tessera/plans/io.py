@@ -234,12 +234,14 @@ def src_external_table(spark, sf_dir):
     table(spark, sf_dir, "orders").write.mode("overwrite").parquet(path)
     name = "ext_purchases_" + os.path.basename(path).replace("-", "_")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    return spark.sql(f"""
+    daily = spark.sql(f"""
         SELECT date_format(CAST(o_orderdate AS DATE), 'yyyy-MM-dd') AS pdate, round(avg(o_totalprice), {R}) AS avg
         FROM {name}
         WHERE date_part('mon', o_orderdate) = 8 AND date_part('d', o_orderdate) < 6
         GROUP BY pdate
         ORDER BY pdate""")
+    spark.sql(f"DROP TABLE {name}")  # the definition only: the files stay, and the result already names them
+    return daily
 
 
 @register("sink_text", f"""
