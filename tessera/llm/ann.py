@@ -1,8 +1,10 @@
 """Exact nearest neighbours of a stated query set by a block matrix join.
 
 Query blocks and candidate slots form a grid: candidates are copied to each
-query block, query blocks to each slot, and the cells are the join's keys. In
-a cell, tiles of candidates meet the query block. Both sides are quantised to
+query block, query blocks to each slot, and the cells are the join's keys. A
+block holds as many queries as fit into ``block_bytes``, a slot at most as many
+candidates, so neither side is copied more often than memory asks for. In
+a cell, tiles of candidates meet groups of queries. Both sides are quantised to
 int8 (per vector scale); an integer matrix product (int8 values held in float32,
 exact below 2**24) gives approximate cosines, and the length of each vector's
 quantisation residual bounds their error. A pair survives if its upper bound
@@ -62,7 +64,7 @@ def _ordered_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Cell:
-    """One query block with a heap of the k best candidates of each query."""
+    """A group of queries with a heap of the k best candidates of each query."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.x, self.k = ids, vectors, k
@@ -104,18 +106,18 @@ class Cell:
                 yield i, -v, s
 
 
-def _tiles(k: int, tile: int):
+def _tiles(k: int, group: int, tile: int):
     def run(batches):
         import pyarrow as pa
 
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-        def emit(cell):
-            rows = list(cell.best())
+        def emit(cells):
+            rows = [r for cell in cells for r in cell.best()]
             return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], f.type) for j, f in enumerate(schema)],
                                               schema=schema)
 
-        at, cell, queries = None, None, []
+        at, cells, queries = None, None, []
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("_dim", "_block", "_slot", "_kind")]
             key = np.stack(cols, axis=1)
@@ -125,34 +127,38 @@ def _tiles(k: int, tile: int):
                     continue
                 part, (dim, block, slot, kind) = batch.slice(lo, hi - lo), key[lo].tolist()
                 if (dim, block, slot) != at:
-                    if cell is not None:
-                        yield emit(cell)
-                    at, cell, queries = (dim, block, slot), None, []
+                    if cells:
+                        yield emit(cells)
+                    at, cells, queries = (dim, block, slot), None, []
                 ids = part.column("_id").to_numpy(zero_copy_only=False).astype(np.int64)
                 x = _doubles(part.column("_vec"), dim)
                 if kind == 0:
                     queries.append((ids, x))
                     continue
-                if cell is None:
-                    if not queries:
-                        continue
-                    cell = Cell(np.concatenate([a for a, _ in queries]), np.concatenate([b for _, b in queries]), k)
+                if cells is None:
+                    asked = np.concatenate([a for a, _ in queries]) if queries else np.empty(0, np.int64)
+                    vectors = np.concatenate([b for _, b in queries]) if queries else np.empty((0, dim))
+                    cells = [Cell(asked[i:i + group], vectors[i:i + group], k) for i in range(0, len(asked), group)]
+                    queries = []
                 for i in range(0, len(ids), tile):
-                    cell.add(ids[i:i + tile], x[i:i + tile])
-        if cell is not None:
-            yield emit(cell)
+                    for cell in cells:
+                        cell.add(ids[i:i + tile], x[i:i + tile])
+        if cells:
+            yield emit(cells)
     return run
 
 
 def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-            query_block: int = 1024, tile: int = 2048) -> DataFrame:
+            block_bytes: int = 64 << 20, group: int = 1024, tile: int = 2048) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of largest cosine for each row where ``queries`` holds."""
     rows = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vec_col))).select(
         F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_vec"), F.size(vec_col).alias("_dim"),
         F.coalesce(queries, F.lit(False)).alias("_is_query"))
     asked = rows.where("_is_query").drop("_is_query")
-    blocks = max(1, -(-asked.count() // query_block))
-    slots = max(1, -(-partitions(vectors.sparkSession) // blocks))
+    size = rows.agg(F.count_if("_is_query").alias("asked"), F.count(F.lit(1)).alias("rows"), F.max("_dim").alias("dim")).first()
+    block = max(1, block_bytes // (12 * (size["dim"] or 1)))  # a query is held in doubles and, quantised, in floats
+    blocks = max(1, -(-size["asked"] // block))
+    slots = max(1, -(-size["rows"] // block), -(-partitions(vectors.sparkSession) // blocks))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = (asked.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int"))
             .withColumn("_slot", spread(slots)).withColumn("_kind", F.lit(0)))
@@ -161,6 +167,6 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col
     cells = left.unionByName(right).select("_dim", "_block", "_slot", "_kind", "_id", "_vec")
     key = ["_dim", "_block", "_slot"]
     found = (cells.repartition(blocks * slots, *key).sortWithinPartitions(*key, "_kind")
-             .mapInArrow(_tiles(k, tile), "query_id long, vec_id long, score double"))
+             .mapInArrow(_tiles(k, group, tile), "query_id long, vec_id long, score double"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -312,7 +312,7 @@ def test_nearest(spark):
              (0, [-float(v) for v in x[0]], "same id as a query")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string").repartition(5)
     got = collections.defaultdict(list)
-    for r in nearest(df, F.col("vec_id") % 50 == 0, query_block=3, tile=7).collect():
+    for r in nearest(df, F.col("vec_id") % 50 == 0, block_bytes=576, group=2, tile=7).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
     y = x.astype(float)
     y /= np.linalg.norm(y, axis=1, keepdims=True)
